@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, sharding, simhash
+from . import bpe, exact_dedup, mixing, sharding, simhash, token_counts, toxicity
 from .common import table
 
 
@@ -18,6 +19,19 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), model, limit=4096)
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A mixture as large as the corpus, at 98 % of the entropy of equal weights, no source over four times."""
     return mixing.mix(table(spark, sf_dir, "documents"), budget=1.0, target_entropy=0.98, max_repetition=4.0)
@@ -30,6 +44,9 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_toxicity": op4_toxicity,
+    "op5_token_counts": op5_token_counts,
+    "op7_bpe": op7_bpe,
     "op8_mixing": op8_mixing,
     "op10_simhash": op10_simhash,
 }
