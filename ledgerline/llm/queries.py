@@ -7,10 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, mixing, sharding, simhash, token_counts, toxicity
+from . import bpe, exact_dedup, mixing, sharding, simhash, syncmers, token_counts, toxicity
 from .common import table
 
 
+def op1_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), shards=8)
 
@@ -42,6 +46,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_syncmers": op1_syncmers,
     "op2_sharding": op2_sharding,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_toxicity": op4_toxicity,
