@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, mixing, sharding, simhash, syncmers, token_counts, toxicity
+from . import bpe, exact_dedup, mixing, relative_lz, sharding, simhash, syncmers, token_counts, toxicity
 from .common import table
 
 
@@ -32,6 +33,12 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), model, limit=4096)
 
 
+def op6_relative_lz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = relative_lz.parsed(table(spark, sf_dir, "documents"), window=13)
+    digest = F.sha2(F.encode("kept", "UTF-8"), 256)
+    return rows.select("doc_id", "n_words", "n_removed", digest.alias("kept_sha256"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -51,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_toxicity": op4_toxicity,
     "op5_token_counts": op5_token_counts,
+    "op6_relative_lz": op6_relative_lz,
     "op7_bpe": op7_bpe,
     "op8_mixing": op8_mixing,
     "op10_simhash": op10_simhash,
