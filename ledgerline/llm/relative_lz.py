@@ -129,19 +129,19 @@ def parsed(docs: DataFrame, window: int = WINDOW, key: str = "doc_id", text: str
     named = source.where("doc_id is not null")
     marks = staged(anchors.found_again(staged(named.mapInArrow(sampled, anchors.ASKED), "lz-anchors"), True), "lz-marks")
     # both joins below deal the documents out alike, so that their texts are shuffled once
-    dealt = source.withColumn("tag", F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")))
+    dealt = named.withColumn("tag", F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")))
     rows = dealt.join(marks, ["doc_id", "tag"]).mapInArrow(
         looked_up, "key long, doc_id long, tag long, place int, source long"
     )
-    least = F.min("doc_id").over(Window.partitionBy("key"))
-    hits = (
-        rows.where("source is null")
-        .withColumn("source", least)
-        .where("source < doc_id")
-        .unionByName(rows.where("source is not null"))
-    )
+    # a block whose source is known has a group of its own
+    alone = F.when(F.col("source").isNotNull(), F.struct("doc_id", "place"))
+    least = F.min("doc_id").over(Window.partitionBy("key", alone))
+    hits = rows.withColumn("source", F.coalesce("source", least)).where("source < doc_id")
     hits = hits.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("place", "source")).alias("hits"))
-    return dealt.join(hits, ["doc_id", "tag"], "left").mapInArrow(
+    none = F.lit(None).cast("array<struct<place:int,source:bigint>>")
+    nameless = source.where("doc_id is null").withColumn("hits", none)
+    found = dealt.join(hits, ["doc_id", "tag"], "left").select("doc_id", "text", "hits").unionByName(nameless)
+    return found.mapInArrow(
         rewritten,
         "doc_id long, n_words long, n_removed long, kept string, "
         "factors array<struct<first: int, words: int, reference: bigint>>",
