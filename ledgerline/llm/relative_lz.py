@@ -129,7 +129,8 @@ def parsed(docs: DataFrame, window: int = WINDOW, key: str = "doc_id", text: str
     named = source.where("doc_id is not null")
     marks = staged(anchors.found_again(staged(named.mapInArrow(sampled, anchors.ASKED), "lz-anchors"), True), "lz-marks")
     # both joins below deal the documents out alike, so that their texts are shuffled once
-    dealt = named.withColumn("tag", F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")))
+    checksum = F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8"))
+    dealt = named.withColumn("tag", F.coalesce(checksum, F.lit(0)))
     rows = dealt.join(marks, ["doc_id", "tag"]).mapInArrow(
         looked_up, "key long, doc_id long, tag long, place int, source long"
     )
@@ -140,11 +141,9 @@ def parsed(docs: DataFrame, window: int = WINDOW, key: str = "doc_id", text: str
     hits = hits.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("place", "source")).alias("hits"))
     none = F.lit(None).cast("array<struct<place:int,source:bigint>>")
     nameless = source.where("doc_id is null").withColumn("hits", none)
-    found = dealt.join(hits, ["doc_id", "tag"], "left").select("doc_id", "text", "hits").unionByName(nameless)
-    return found.mapInArrow(
-        rewritten,
+    schema = (
         "doc_id long, n_words long, n_removed long, kept string, "
-        "factors array<struct<first: int, words: int, reference: bigint>>",
+        "factors array<struct<first: int, words: int, reference: bigint>>"
     )
-
-
+    found = dealt.join(hits, ["doc_id", "tag"], "left").select("doc_id", "text", "hits")
+    return found.mapInArrow(rewritten, schema).unionByName(nameless.mapInArrow(rewritten, schema))
