@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, mixing, relative_lz, sharding, simhash, syncmers, token_counts, toxicity
+from . import bpe, exact_dedup, mixing, relative_lz, sharding, simhash, suffix_array, syncmers, token_counts, toxicity
 from .common import table
 
 
@@ -48,6 +48,11 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), budget=1.0, target_entropy=0.98, max_repetition=4.0)
 
 
+def op9_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = suffix_array.cleaned(table(spark, sf_dir, "documents"), window=400)
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"), shingle=3, radius=2)
 
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_relative_lz": op6_relative_lz,
     "op7_bpe": op7_bpe,
     "op8_mixing": op8_mixing,
+    "op9_suffix_array": op9_suffix_array,
     "op10_simhash": op10_simhash,
 }
 
