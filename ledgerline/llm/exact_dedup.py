@@ -146,3 +146,15 @@ def _unequal(source: DataFrame, prints: DataFrame, groups: DataFrame) -> DataFra
     # a key that stands for several texts may bring in a text of another group: that group is parted needlessly
     rows = source.withColumn("size", F.octet_length(F.coalesce("text", F.lit("")))).join(members, "doc_id")
     return compared(rows.where("size = n_bytes").select("text", "n_bytes", "poly"), groups)
+
+
+def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents that stay, with all their columns."""
+    columns = [F.col(f"d.`{c}`") for c in docs.columns]
+    winners = staged(exact_groups(docs, key, text).where("kept").select("doc_id", "text_sha256"), "exact-winners")
+    content = F.sha2(F.encode(F.coalesce(F.col(text).cast("string"), F.lit("")), "UTF-8"), 256)
+    # every row has a row of its group with the largest key; null keys join as the least long
+    own = F.coalesce(F.col(key).cast("long"), F.lit(-(2**63)))
+    rows = docs.select(F.struct("*").alias("d"), own.alias("own"), content.alias("sha"))
+    winners = winners.select(F.coalesce("doc_id", F.lit(-(2**63))).alias("own"), F.col("text_sha256").alias("sha"))
+    return rows.join(winners, ["own", "sha"]).dropDuplicates(["own", "sha"]).select(columns)

@@ -86,7 +86,7 @@ def mix(
     source: str = "source",
     text: str = "text",
 ) -> DataFrame:
-    """One row per drawn copy: doc_id, source, n_tokens, weight, epoch, block, block_place.
+    """One row per drawn copy: doc_id, source, n_tokens, weight, epoch, block, tag (checksum), block_place.
 
     budget: tokens of the mixture as a multiple of the corpus.
     """
@@ -95,6 +95,7 @@ def mix(
             F.col(key).alias("doc_id"),
             F.col(source).alias("source"),
             F.regexp_count(text_or_empty(text), F.lit(WORD)).cast("long").alias("n_tokens"),
+            F.crc32(F.encode(text_or_empty(text), "UTF-8")).alias("tag"),
         ),
         "mix-rows",
     )
@@ -125,6 +126,7 @@ def mix(
         "r.doc_id",
         "r.source",
         "r.n_tokens",
+        "r.tag",
         "s.weight",
         "s.epochs",
         "s.rest",
@@ -149,7 +151,7 @@ def mix(
     ).select("d.*", "b.since", "b.whole")
     inner = (
         Window.partitionBy("source", "block")
-        .orderBy(F.xxhash64(F.lit(seed), "epochs", "doc_id"), "doc_id", "n_tokens")
+        .orderBy(F.xxhash64(F.lit(seed), "epochs", "doc_id"), "doc_id", "tag")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     cut = (
@@ -160,9 +162,27 @@ def mix(
     )
     final = last.where("whole").unionByName(cut).withColumn("epoch", F.col("epochs"))
     full = dealt.where("epochs > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("epochs") - 1)))
-    columns = ["doc_id", "source", "n_tokens", "weight", "epoch", "block"]
+    columns = ["doc_id", "source", "n_tokens", "weight", "epoch", "block", "tag"]
     return (
         full.select(columns)
         .unionByName(final.select(columns))
         .withColumn("block_place", F.xxhash64(F.lit(seed), "source", "epoch", "block"))
     )
+
+
+def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", **settings) -> DataFrame:  # noqa: ANN003
+    """The documents of the mixture, with all their columns, each as often as it is drawn.
+
+    Wholly repeated rows are drawn alike, in the epochs of any of them.
+    """
+    drawn = mix(docs, key=key, text=text, **settings)
+    copies = drawn.groupBy(F.coalesce("doc_id", F.lit(-(2**63))).alias("own"), "tag").agg(
+        F.countDistinct("epoch").cast("int").alias("copies")
+    )
+    rows = docs.select(
+        F.struct("*").alias("d"),
+        F.coalesce(F.col(key).cast("long"), F.lit(-(2**63))).alias("own"),
+        F.crc32(F.encode(text_or_empty(text), "UTF-8")).alias("tag"),
+    )
+    found = rows.join(staged(copies, "mix-copies"), ["own", "tag"])
+    return found.select("d", F.explode(F.sequence(F.lit(1), "copies"))).select([F.col(f"d.`{c}`") for c in docs.columns])

@@ -18,6 +18,7 @@ are copies; an empty table gives an empty result; other columns are not carried.
 from __future__ import annotations
 
 import itertools
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -172,15 +173,17 @@ def links(prints: DataFrame, radius: int = 2, bucket: int = BUCKET) -> DataFrame
 def near_groups(
     docs: DataFrame, shingle: int = 3, radius: int = 2, key: str = "doc_id", text: str = "text", bucket: int = BUCKET
 ) -> DataFrame:
-    """One row per document: doc_id, fingerprint (16 hex digits), component_id (least key reachable)."""
+    """One row per document: doc_id, fingerprint (16 hex digits), component_id (least key reachable), tag (checksum)."""
 
     def printed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slabs(batches, "text"):
-            found = fingerprints(texts(batch), shingle).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found)], ["doc_id", "fp"])
+            data = texts(batch)
+            found = fingerprints(data, shingle).view(np.int64)
+            tags = pa.array([zlib.crc32(x) for x in data], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found), tags], ["doc_id", "fp", "tag"])
 
     source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    rows = staged(source.mapInArrow(printed, "doc_id long, fp long"), "simhash")
+    rows = staged(source.mapInArrow(printed, "doc_id long, fp long, tag long"), "simhash")
     classes = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-classes")
     roots = components(links(classes.select("fp"), radius, bucket)).select(F.col("node").alias("fp"), "root")
     placed = classes.join(staged(roots, "simhash-roots"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
@@ -188,5 +191,14 @@ def near_groups(
     names = staged(placed.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-names")
     classes = staged(placed.join(names, "root").select("fp", "component_id"), "simhash-named")
     return rows.join(classes, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "tag"
     )
+
+
+def one_of_each(docs: DataFrame, shingle: int = 3, radius: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The document with the least key of each group, with all columns; rows without a key stay."""
+    gone = near_groups(docs, shingle, radius, key, text).where("doc_id <> component_id").select("doc_id", "tag")
+    gone = staged(gone.distinct(), "simhash-gone").select(F.col("doc_id").alias("own"), "tag")
+    checksum = F.crc32(F.encode(F.coalesce(F.col(text).cast("string"), F.lit("")), "UTF-8"))
+    rows = docs.select(F.struct("*").alias("d"), F.col(key).cast("long").alias("own"), checksum.alias("tag"))
+    return rows.join(gone, ["own", "tag"], "left_anti").select([F.col(f"d.`{c}`") for c in docs.columns])

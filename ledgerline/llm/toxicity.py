@@ -204,7 +204,8 @@ def learn(
     ]
     chosen = staged(chosen[0].unionByName(chosen[1]), "toxic-sample")
     # 2 * sample rows at most
-    rows = docs.select(F.col(key).alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").select("label", "text")
+    rows = docs.select(F.col(key).alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = rows.join(F.broadcast(chosen), "doc_id").select("label", "text")
     rows = staged(
         rows.mapInArrow(_extracted, "label int, at array<int>, swapped array<array<int>>"), "toxic-features"
     )
@@ -218,7 +219,11 @@ def learn(
 
 
 def score(
-    docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE, key: str = "doc_id",
+    docs: DataFrame,
+    labels: DataFrame,
+    label: str = "toxic",
+    sample: int = SAMPLE,
+    key: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
     """One row per document: doc_id, held_out, score (0 to 1), predicted (1 from 0.5)."""
@@ -234,3 +239,25 @@ def score(
 
     rows = source.mapInArrow(scored, "doc_id long, score double")
     return rows.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def clean(
+    docs: DataFrame,
+    labels: DataFrame,
+    label: str = "toxic",
+    sample: int = SAMPLE,
+    key: str = "doc_id",
+    text: str = "text",
+) -> DataFrame:
+    """The documents with a score under 0.5, with all their columns."""
+    if text != "text" and "text" in docs.columns:
+        raise ValueError("another column is named text")
+    weights, bias = learn(docs.withColumnRenamed(text, "text"), labels, label, sample, key)
+
+    def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slabs(batches, text):
+            owner, at = features(texts(batch, text))
+            z = np.bincount(owner, weights[at], batch.num_rows)[: batch.num_rows] + bias
+            yield batch.filter(pa.array(z < 0))
+
+    return docs.mapInArrow(passed, docs.schema)
