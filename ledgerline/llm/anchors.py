@@ -180,12 +180,12 @@ def tags(data: list[bytes]) -> np.ndarray:
 
 def found_again(rows: DataFrame, across: bool) -> DataFrame:
     """(doc_id, tag, places) of the keys that are found elsewhere."""
-    by_key = Window.partitionBy("key")
-    queries = rows.where("kind > 0")
+    # a row whose answer is known has a group of its own
+    known = F.when(F.col("kind") == 0, F.struct("doc_id", "place"))
+    by_key = Window.partitionBy("key", known)
     if across:
         again = F.min("doc_id").over(by_key) != F.max("doc_id").over(by_key)
     else:
         again = F.count("*").over(by_key) > 1
-    answers = queries.withColumn("again", again).where("again and kind = 1").drop("again")
-    said = rows.where("kind = 0").unionByName(answers)
+    said = rows.withColumn("again", again).where("kind = 0 or (kind = 1 and again)")
     return said.groupBy("doc_id", "tag").agg(F.collect_list("place").alias("places"))

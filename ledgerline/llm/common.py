@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import json
 import tempfile
 import uuid
@@ -41,6 +42,12 @@ def staged(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Have the driver drop what is no longer referred to, so that Spark frees the shuffle files of past steps."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

@@ -18,17 +18,16 @@ copies of each other; an empty table gives an empty result; other columns are no
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import anchors
-from .common import slabs, staged, texts
+from .common import release, slabs, staged, texts
 from .relative_lz import _keys, _marks
 
 WINDOW, BLOCK = 400, 101
@@ -109,12 +108,6 @@ def spans_of(flags: np.ndarray) -> list[list[int]]:
     return np.stack([np.nonzero(edges == 1)[0], np.nonzero(edges == -1)[0] - 1], axis=1).tolist()
 
 
-def release(spark: SparkSession) -> None:
-    """Have the driver drop what is no longer referred to, so that Spark frees the shuffle files of past steps."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 _SPANS = "name binary, spans array<array<int>>"
 
 
@@ -276,6 +269,7 @@ def cleaned(
     source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     named = source.where("doc_id is not null")
     marks = staged(anchors.found_again(named.mapInArrow(sampled, anchors.ASKED), False), "sa-marks")
+    release(spark)
     checksum = F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8"))
     dealt = named.withColumn("tag", F.coalesce(checksum, F.lit(0)))
     schema = (
