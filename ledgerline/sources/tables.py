@@ -45,9 +45,12 @@ def write_jdbc(
     df.write.format("jdbc").options(**options | ({"driver": driver} if driver else {})).mode("append").save()
 
 
+_CSV = {"nullValue": NULL_MARK, "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.option("nullValue", NULL_MARK).option("escape", '"').csv(path)
+    df.write.options(**_CSV).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).option("nullValue", NULL_MARK).option("escape", '"').option("multiLine", True).csv(path)
+    return spark.read.schema(schema).options(**_CSV, multiLine="true").csv(path)
