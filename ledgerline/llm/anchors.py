@@ -147,10 +147,11 @@ def asked(
     """
     order = np.lexsort((place, doc, keys))
     keys, doc, tag, place = keys[order], doc[order], tag[order], place[order]
-    first = np.concatenate([[True], keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, bool)
+    first = np.ones(len(keys), dtype=bool)
+    first[1:] = keys[1:] != keys[:-1]
     group = np.cumsum(first) - 1
     heads = np.nonzero(first)[0]
-    tails = np.append(heads[1:], len(keys)) - 1
+    tails = np.append(heads[1:], len(keys))[: len(heads)] - 1
     if across:
         again = (doc[heads] != doc[tails])[group]
     else:
