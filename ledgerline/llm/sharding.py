@@ -14,6 +14,7 @@ an empty table gives an empty result; other columns are not carried, so that the
 from __future__ import annotations
 
 import heapq
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -118,7 +119,7 @@ def shard(docs: DataFrame, shards: int = 8, key: str = "doc_id", text: str = "te
         rows.groupBy("virtual_slot", "part").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")), "shard-slots"
     )  # slots * PARTS rows at most
     per_slot = counts.groupBy("virtual_slot").agg(F.sum("bytes").alias("bytes")).collect()
-    path = f"{shared_dir(spark)}/slot-map-{spark.sparkContext.applicationId}-{id(rows)}"
+    path = f"{shared_dir(spark)}/slot-map-{uuid.uuid4().hex}"
     save_map(spark, path, place_slots({r["virtual_slot"]: int(r["bytes"]) for r in per_slot}, shards, slots), 1)
     _, placed = load_map(spark, path)
     of_slot = F.element_at(int_array(placed), F.col("virtual_slot") + 1).cast("int")
