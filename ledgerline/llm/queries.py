@@ -76,6 +76,26 @@ ORACLES: dict[str, str] = {
                doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
     """,
+    "op6_relative_lz": r"""
+        WITH lists AS (
+          SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+        words AS (SELECT doc_id, len(ws) AS n, unnest(ws) AS word, generate_subscripts(ws, 1) AS j FROM lists),
+        windows AS (
+          SELECT doc_id, j, n, string_agg(word, ' ') OVER (
+            PARTITION BY doc_id ORDER BY j ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING) AS win
+          FROM words QUALIFY j <= n - 12),
+        firsts AS (SELECT win, min(doc_id) AS first FROM windows GROUP BY win),
+        gone AS (
+          SELECT DISTINCT doc_id, unnest(generate_series(j, j + 12)) AS j
+          FROM windows JOIN firsts USING (win) WHERE first < doc_id),
+        kept AS (
+          SELECT w.doc_id, count(g.j) AS n_removed,
+                 coalesce(string_agg(word, ' ' ORDER BY w.j) FILTER (WHERE g.j IS NULL), '') AS text
+          FROM words w LEFT JOIN gone g ON w.doc_id = g.doc_id AND w.j = g.j GROUP BY w.doc_id)
+        SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+               sha256(coalesce(kept.text, '')) AS kept_sha256
+        FROM lists LEFT JOIN kept USING (doc_id)
+    """,
 }
 
 
