@@ -28,6 +28,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not folder:
         current = spark.sparkContext.getCheckpointDir()
         if current is None:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
             spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerline-"))
             current = spark.sparkContext.getCheckpointDir()
         folder = current
