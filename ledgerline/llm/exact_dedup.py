@@ -19,14 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import slabs, staged, texts
+from .common import SLAB_BYTES, slabs, staged, texts
 
 PRIMES = (2_147_483_647, 2_147_483_629)
 BASES = (1_000_003, 1_618_033)
 #: Bytes of a chunk: products stay below 2**39, so sums over a chunk fit in 64 bits.
 CHUNK = 1 << 16
-#: Code points in a chunk of the streaming comparison.
-COMPARE_CHARS = 1 << 15
 
 
 def _powers(base: int, prime: int) -> np.ndarray:
@@ -79,20 +77,34 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         )
 
 
-def compared(docs: DataFrame, repeated: DataFrame) -> DataFrame:
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The chunks of each text, one slab's worth at a time however long a text is."""
+    for batch in slabs(batches, "text"):
+        held: list[tuple[int, int, int, bytes]] = []
+        columns = (batch.column("n_bytes").to_pylist(), batch.column("poly").to_pylist(), texts(batch))
+        for n, poly, data in zip(*columns, strict=True):
+            for place, i in enumerate(range(0, max(1, len(data)), CHUNK)):
+                held.append((n, poly, place, data[i : i + CHUNK]))
+                if len(held) * CHUNK >= SLAB_BYTES * 8:
+                    yield _chunk_rows(held)
+                    held = []
+        yield _chunk_rows(held)
+
+
+def _chunk_rows(held: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
+    kinds = {"n_bytes": pa.int64(), "poly": pa.int64(), "place": pa.int32(), "chunk": pa.binary()}
+    arrays = [pa.array([x[i] for x in held], kind) for i, kind in enumerate(kinds.values())]
+    return pa.RecordBatch.from_arrays(arrays, list(kinds))
+
+
+def compared(docs: DataFrame) -> DataFrame:
     """Groups (n_bytes, poly) with unequal texts, found by comparing their chunks: (n_bytes, poly).
 
-    docs: doc_id, text, n_bytes, poly of the rows to compare.  Each task passes on a chunk only once.
+    docs: text, n_bytes, poly of the rows to compare.  Each task passes on a chunk only once, so that a group of very
+    many copies stays small.
     """
-    content = F.coalesce(F.col("text"), F.lit(""))
-    places = F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.length(content) - 1) / COMPARE_CHARS)))
-    chunks = docs.select("n_bytes", "poly", content.alias("text"), F.explode(places).alias("place")).select(
-        "n_bytes",
-        "poly",
-        "place",
-        F.substring("text", F.col("place") * COMPARE_CHARS + 1, F.lit(COMPARE_CHARS)).alias("chunk"),
-    )
-    distinct = chunks.join(repeated, ["n_bytes", "poly"], "left_semi").distinct()
+    chunks = docs.select("n_bytes", "poly", "text").mapInArrow(_chunks, "n_bytes long, poly long, place int, chunk binary")
+    distinct = chunks.distinct()
     return (
         distinct.groupBy("n_bytes", "poly", "place").count().where("count > 1").select("n_bytes", "poly").distinct()
     )
@@ -145,7 +157,7 @@ def _unequal(source: DataFrame, prints: DataFrame, groups: DataFrame) -> DataFra
     members = prints.join(groups, ["n_bytes", "poly"], "left_semi").select("doc_id", "n_bytes", "poly").distinct()
     # a key that stands for several texts may bring in a text of another group: that group is parted needlessly
     rows = source.withColumn("size", F.octet_length(F.coalesce("text", F.lit("")))).join(members, "doc_id")
-    return compared(rows.where("size = n_bytes").select("text", "n_bytes", "poly"), groups)
+    return compared(rows.where("size = n_bytes"))
 
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
