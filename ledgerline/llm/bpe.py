@@ -15,6 +15,7 @@ null keys and other columns are carried where `encode_documents` keeps them.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 import os
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from .common import slabs
 
 #: Pieces that a worker remembers, and characters from which a piece is encoded as a tree.
-REMEMBERED, LONG = 300_000, 256
+REMEMBERED, LONG = 120_000, 256
 LEAF = 64
 _PLAIN = regex.compile("[\t\n\r\x20-\x7e¡-ɏ]*")
 
@@ -128,11 +129,17 @@ class Codec:
         return b"".join(ids), " ".join(tokens)
 
 
+@functools.lru_cache(maxsize=1)
+def codec_of(path: str) -> Codec:
+    """The worker's codec, kept from task to task."""
+    return Codec(path)
+
+
 def encode_documents(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, n_tokens, ids (binary, little-endian 32-bit), decoded."""
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(path)
+        codec = codec_of(path)
         for batch in slabs(batches, "text"):
             found = [codec.encode(x or "") for x in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -153,7 +160,7 @@ def encode_digests(docs: DataFrame, path: str, key: str = "doc_id", text: str =
     """One row per document: doc_id, n_tokens, ids_sha256, decoded_sha256; digests are taken where texts are encoded."""
 
     def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(path)
+        codec = codec_of(path)
         for batch in slabs(batches, "text"):
             n, of_ids, of_text = [], [], []
             for x in batch.column("text").to_pylist():

@@ -168,6 +168,11 @@ def fit(
     return weights, bias + 0.5 * float(np.log(base_rate / (1 - base_rate)))
 
 
+def _packed(at: np.ndarray) -> bytes:
+    """Distinct features as 32-bit integers."""
+    return np.unique(at).astype("<i4").tobytes()
+
+
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slabs(batches, "text"):
         data = texts(batch)
@@ -176,12 +181,12 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         swapped = []
         for x in data:
             versions = counterfactuals(x.decode("utf-8", "replace"))
-            swapped.append([np.unique(features([v.encode()])[1]).tolist() for v in versions])
+            swapped.append([_packed(features([v.encode()])[1]) for v in versions])
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("label"),
-                pa.array([np.unique(at[a:b]).tolist() for a, b in itertools.pairwise(cuts)], pa.list_(pa.int32())),
-                pa.array(swapped, pa.list_(pa.list_(pa.int32()))),
+                pa.array([_packed(at[a:b]) for a, b in itertools.pairwise(cuts)], pa.binary()),
+                pa.array(swapped, pa.list_(pa.binary())),
             ],
             ["label", "at", "swapped"],
         )
@@ -207,10 +212,10 @@ def learn(
     rows = docs.select(F.col(key).alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.join(F.broadcast(chosen), "doc_id").select("label", "text")
     rows = staged(
-        rows.mapInArrow(_extracted, "label int, at array<int>, swapped array<array<int>>"), "toxic-features"
+        rows.mapInArrow(_extracted, "label int, at binary, swapped array<binary>"), "toxic-features"
     )
     found = [
-        (np.array(r["at"], dtype=np.int64), [np.array(x, dtype=np.int64) for x in r["swapped"]], r["label"])
+        (np.frombuffer(r["at"], dtype="<i4"), [np.frombuffer(x, dtype="<i4") for x in r["swapped"]], r["label"])
         for r in rows.orderBy(F.xxhash64("at"), "label").limit(2 * sample).toLocalIterator()
     ]
     total = sum(shares.values())
