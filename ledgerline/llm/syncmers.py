@@ -89,39 +89,23 @@ def with_next(rows: DataFrame, ranges: int, low: float, width: float) -> DataFra
     ).cast("long")
     dealt = rows.withColumn("part", part).repartition("part")
     order = Window.partitionBy("part").orderBy("doc_id", "content")
-    follower = F.lead(F.struct("text", "prints")).over(order)
-    inner = dealt.withColumn("next", follower).where("next is not null").select("doc_id", "text", "prints", "next")
-    # of each range the first and the last row; at most MAX_RANGES ranges
+    # the range before each one that has rows; at most MAX_RANGES ranges
     parts = dealt.select("part").distinct()
-    line = Window.orderBy("part")
-    first_of_all = parts.agg(F.max("part").alias("top"))
-    before = parts.select("part", F.lag("part").over(line).alias("before")).crossJoin(F.broadcast(first_of_all))
+    before = parts.select("part", F.lag("part").over(Window.orderBy("part")).alias("before"))
+    before = before.crossJoin(F.broadcast(parts.agg(F.max("part").alias("top"))))
     before = before.select("part", F.coalesce("before", "top").alias("before"))
-    edges = (
+    firsts = (
         dealt.withColumn("rank", F.row_number().over(order))
-        .withColumn("last", F.lead("part").over(order).isNull())
-        .where("rank = 1 or last")
+        .where("rank = 1")
         .join(F.broadcast(before), "part")
-        .select(
-            F.explode(
-                F.array(
-                    F.when(F.col("last"), F.struct(F.col("part").alias("at"), F.lit(True).alias("is_last"))),
-                    F.when(F.col("rank") == 1, F.struct(F.col("before").alias("at"), F.lit(False).alias("is_last"))),
-                )
-            ).alias("role"),
-            "doc_id",
-            "text",
-            "prints",
-        )
-        .where("role is not null")
-        .groupBy("role.at")
-        .agg(
-            F.max(F.when(F.col("role.is_last"), F.struct("doc_id", "text", "prints"))).alias("own"),
-            F.max(F.when(~F.col("role.is_last"), F.struct("text", "prints"))).alias("next"),
-        )
-        .select("own.doc_id", "own.text", "own.prints", "next")
+        .select(F.col("before").alias("part"), F.struct("text", "prints").alias("follower"))
+    )
+    # both sides deal the rows out alike, so that texts are shuffled once
+    inner = dealt.withColumn("next", F.lead(F.struct("text", "prints")).over(order)).alias("i")
+    following = (F.col("i.part") == F.col("f.part")) & F.col("i.next").isNull()
+    return inner.join(firsts.alias("f"), following, "left").select(
+        "i.doc_id", "i.text", "i.prints", F.coalesce("i.next", "f.follower").alias("next")
     )
-    return inner.unionByName(edges)
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
