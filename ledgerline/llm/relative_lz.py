@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import anchors
-from .common import slabs, staged, texts
+from .common import release, slabs, staged, texts
 
 #: Words of a window, and of the block at its anchor.
 WINDOW, BLOCK = 13, 5
@@ -127,7 +127,8 @@ def parsed(docs: DataFrame, window: int = WINDOW, key: str = "doc_id", text: str
 
     source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     named = source.where("doc_id is not null")
-    marks = staged(anchors.found_again(staged(named.mapInArrow(sampled, anchors.ASKED), "lz-anchors"), True), "lz-marks")
+    marks = staged(anchors.found_again(named.mapInArrow(sampled, anchors.ASKED), True), "lz-marks")
+    release(docs.sparkSession)
     # both joins below deal the documents out alike, so that their texts are shuffled once
     checksum = F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8"))
     dealt = named.withColumn("tag", F.coalesce(checksum, F.lit(0)))
