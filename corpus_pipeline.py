@@ -8,7 +8,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import bpe, exact_dedup, mixing, simhash, toxicity
+from ledgerline.llm import bpe, exact_dedup, mixing, near_copies, toxicity
 from ledgerline.llm.common import staged, table
 
 
@@ -23,8 +23,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays (three-word shingles, two bits, as the operator's query)."""
-    return simhash.one_of_each(docs, shingle=3, radius=2)
+    """One document of each group of near copies stays (Jaccard similarity of five-word shingles of 0.8 or more)."""
+    return near_copies.one_of_each(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +46,7 @@ STAGES = [
     ("bpe_encoding", encode),
 ]
 
-#: A learnt classifier, SimHash links and BPE are not expressible in SQL.
+#: A learnt classifier, near-copy links and BPE are not expressible in SQL.
 ORACLE_SQL = None
 
 
