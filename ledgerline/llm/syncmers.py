@@ -3,7 +3,8 @@
 A text is a sequence of tokens: runs of letters and digits (cut at 32), each other visible character on its own, and
 each character of scripts written without spaces.  A k-mer of K tokens is selected if the least of its inner s-mers (S
 tokens, by hash) is its first or its last one: a rule that looks at nothing outside the k-mer, so that equal passages
-select equal k-mers wherever they stand.  At least one of any K - S + 1 neighbouring k-mers is selected.
+select equal k-mers wherever they stand.  At least one of any K - S + 1 neighbouring k-mers is selected; where a text has
+fewer k-mers and none of them is, the one with the least hash stands in.
 
 The fingerprint keeps the SKETCH least hashes of the distinct selected k-mers; the likeness of two fingerprints is the
 share of common hashes among the SKETCH least of both together (a bottom-k estimate of their Jaccard similarity).
@@ -38,7 +39,7 @@ def _pairs(a: Column, b: Column, shift: int, f) -> Column:  # noqa: ANN001
 
 
 def selected(text: Column) -> Column:
-    """For each k-mer of the text its hash, or null where it is no closed syncmer.  The index is the k-mer's place."""
+    """For each k-mer of the text its hash, or null where it is not selected.  The index is the k-mer's place."""
     tokens = F.transform(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)), lambda t: F.xxhash64(t))
 
     def of_tokens(h: Column) -> Column:
@@ -51,7 +52,10 @@ def selected(text: Column) -> Column:
     def of_pairs(s: Column, two: Column) -> Column:
         four = _pairs(two, two, 2, lambda a, b: F.least(a, b))
         edge = _pairs(s, s, K - S, lambda a, b: F.struct(F.least(a, b).alias("edge"), F.xxhash64(a, b).alias("name")))
-        return F.zip_with(four, edge, lambda m, e: F.when(e["edge"] <= m, e["name"]))
+        closed = F.zip_with(four, edge, lambda m, e: F.when(e["edge"] <= m, e["name"]))
+        names = F.transform(edge, lambda e: e["name"])
+        least = F.transform(names, lambda x: F.when(x == F.array_min(names), x))
+        return F.transform(F.array(closed), lambda c: F.when(F.exists(c, lambda x: x.isNotNull()), c).otherwise(least))[0]
 
     # arrays of one element bind an intermediate array to a name, so that it is computed once
     whole = F.transform(
