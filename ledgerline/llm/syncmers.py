@@ -4,7 +4,7 @@ A text is a sequence of tokens: runs of letters and digits (cut at 32), each oth
 each character of scripts written without spaces.  A k-mer of K tokens is selected if the least of its inner s-mers (S
 tokens, by hash) is its first or its last one: a rule that looks at nothing outside the k-mer, so that equal passages
 select equal k-mers wherever they stand.  At least one of any K - S + 1 neighbouring k-mers is selected; where a text has
-fewer k-mers and none of them is, the one with the least hash stands in.
+fewer k-mers and none of them is, the one with the least hash stands in.  A k-mer's hash depends on all its tokens.
 
 The fingerprint keeps the SKETCH least hashes of the distinct selected k-mers; the likeness of two fingerprints is the
 share of common hashes among the SKETCH least of both together (a bottom-k estimate of their Jaccard similarity).
@@ -51,7 +51,14 @@ def selected(text: Column) -> Column:
 
     def of_pairs(s: Column, two: Column) -> Column:
         four = _pairs(two, two, 2, lambda a, b: F.least(a, b))
-        edge = _pairs(s, s, K - S, lambda a, b: F.struct(F.least(a, b).alias("edge"), F.xxhash64(a, b).alias("name")))
+        # the s-mers at 0, 2 and 4 hold all tokens of a k-mer
+        head = _pairs(s, s, S, lambda a, b: F.struct(a.alias("first"), F.xxhash64(a, b).alias("name")))
+        edge = _pairs(
+            head,
+            s,
+            K - S,
+            lambda h, b: F.struct(F.least(h["first"], b).alias("edge"), F.xxhash64(h["name"], b).alias("name")),
+        )
         closed = F.zip_with(four, edge, lambda m, e: F.when(e["edge"] <= m, e["name"]))
         names = F.transform(edge, lambda e: e["name"])
         least = F.transform(names, lambda x: F.when(x == F.array_min(names), x))
