@@ -208,6 +208,18 @@ def partition_counts_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.counts_by_date(load(spark, sf_dir, "orders"), "o_orderdate", "1996-01-01", "1996-03-01")
 
 
+@query(
+    "SELECT cast(date_trunc('month', o_orderdate) AS date) AS low, cast(o_orderdate AS date) AS d, count(*) AS n "
+    "FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1, 2"
+)
+def partition_counts_every_chunk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts by date within every chunk of date_chunks."""
+    orders = load(spark, sf_dir, "orders")
+    counts, chunks = checks.counts_by_date(orders, "o_orderdate"), checks.date_chunks(orders, "o_orderdate")
+    inside = (F.col("d") >= F.col("low")) & (F.col("d") < F.col("high"))
+    return counts.join(F.broadcast(chunks), inside).select("low", "d", "n")
+
+
 _COUNTS = "(SELECT cast(o_orderdate AS date) d, count(*) c FROM {} GROUP BY 1)"
 _SUMS = "(SELECT cast(o_orderdate AS date) d, " + ", ".join(
     f"sum(cast({c} AS decimal(28,2))) s{i}" for i, c in enumerate(("o_orderkey", "o_custkey", "o_totalprice"))
