@@ -1,10 +1,9 @@
 """Substring deduplication by relative Lempel-Ziv parsing.
 
 Documents are parsed into factors against an index of reference blocks: every run of WINDOW words of every document,
-under its earliest occurrence (least key, then least place).  The parser goes greedily: where the block at a place is
-known from an earlier document it opens a factor and extends it while the next block continues in the same reference;
-where that ends, the block across the boundary is looked up again before words become literals.  Factors have WINDOW
-words at least, and their words are duplicates.
+under an earlier document that holds it (the least key, or the least one of the slab that the row was read in).  A join
+of window hashes finds the blocks known from earlier documents; neighbouring blocks of one reference make a factor.
+The place in the reference is not kept.  Factors have WINDOW words at least, and their words are duplicates.
 
 To keep the index small, only blocks whose anchor (see anchors.py) is found in two documents are looked up; no other
 block can have an equal.
