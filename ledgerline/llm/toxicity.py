@@ -30,8 +30,8 @@ FEATURES = 1 << 18
 #: Labelled rows of each class that the model is fitted on at most, those with the least hash of their key.
 SAMPLE = 3000
 PREFIXES = (4, 5, 6)
-#: Least log-likelihood ratio of a feature in the model.
-EVIDENCE = 15.0
+#: Least log-likelihood ratio of a feature in the model, and features in the model at most (the strongest).
+EVIDENCE, MODEL = 15.0, 4096
 #: Terms that name groups of people, by kind; swaps stay within a kind.
 IDENTITY_TERMS = (
     ("women", "men", "girls", "boys", "transgender"),
@@ -102,22 +102,22 @@ def features(data: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return owner[kept], at[kept]
 
 
-def telling(column: np.ndarray, label: np.ndarray, n: int, labels: np.ndarray) -> np.ndarray:
-    """Which features speak for label 1: log-likelihood ratio of at least EVIDENCE, and more frequent there.
+def telling(ones: np.ndarray, zeros: np.ndarray, n1: int, n0: int) -> np.ndarray:
+    """The features that speak for label 1, strongest first: log-likelihood ratio of at least EVIDENCE, and more
+    frequent there.  ones, zeros: texts of each label with each feature, of n1 and n0.
 
     Only those enter the model, so that the many other words of a long text don't add up against it.
     """
-    ones, zeros = np.bincount(column, label, n), np.bincount(column, 1 - label, n)
-    n1, n0 = labels.sum(), len(labels) - labels.sum()
     rate = (ones + zeros) / (n1 + n0)
 
-    def log_likelihood(k: np.ndarray, m: float, p: np.ndarray) -> np.ndarray:
+    def log_likelihood(k: np.ndarray, m: int, p: np.ndarray) -> np.ndarray:
         p = np.clip(p, 1e-9, 1 - 1e-9)
         return k * np.log(p) + (m - k) * np.log(1 - p)
 
     gain = log_likelihood(ones, n1, ones / n1) + log_likelihood(zeros, n0, zeros / n0)
     gain = 2 * (gain - log_likelihood(ones, n1, rate) - log_likelihood(zeros, n0, rate))
-    return (gain >= EVIDENCE) & (ones / n1 > 2 * zeros / n0)
+    found = np.nonzero((gain >= EVIDENCE) & (ones / n1 > 2 * zeros / n0))[0]
+    return found[np.argsort(-gain[found], kind="stable")]
 
 
 def fit(
@@ -127,17 +127,13 @@ def fit(
     decay: float = 1e-3,
     steps: int = 120,
 ) -> tuple[np.ndarray, float]:
-    """Weights and intercept.  rows: (features, features of the counterfactuals, label); base_rate: share of label 1."""
+    """Weights and intercept.  rows: (features, features of the counterfactuals, label), with features of the model
+    only; base_rate: share of label 1."""
     labels = np.array([y for _, _, y in rows], dtype=float)
     if not len(rows) or labels.min() == labels.max():
         return np.zeros(FEATURES, np.float32), -np.inf
-    at = np.concatenate([x for x, _, _ in rows])
     owner = np.repeat(np.arange(len(rows)), [len(x) for x, _, _ in rows])
-    used, column = np.unique(at, return_inverse=True)
-    keep = telling(column, labels[owner], len(used), labels)
-    used, renumber = used[keep], np.cumsum(keep) - 1
-    live = keep[column]
-    column, owner = renumber[column[live]], owner[live]
+    used, column = np.unique(np.concatenate([x for x, _, _ in rows]).astype(np.int64), return_inverse=True)
     pairs = [(i, swapped) for i, (_, others, _) in enumerate(rows) for swapped in others]
     place = {f: j for j, f in enumerate(used)}
     swap_owner = np.array([k for k, (_, x) in enumerate(pairs) for f in x if f in place], dtype=np.int64)
@@ -192,15 +188,54 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _tallied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many texts of each label have each feature."""
+    tally = np.zeros((2, FEATURES), dtype=np.int64)
+    for batch in batches:
+        for label, at in zip(batch.column("label").to_pylist(), batch.column("at").to_pylist(), strict=True):
+            tally[label, np.frombuffer(at, dtype="<i4")] += 1
+    used = np.nonzero(tally.any(axis=0))[0]
+    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (used, *tally[:, used])], ["feature", "zeros", "ones"])
+
+
+def _within(chosen: np.ndarray):  # noqa: ANN202
+    """Keeps the chosen features only."""
+    live = np.zeros(FEATURES, dtype=bool)
+    live[chosen] = True
+
+    def kept(x: bytes) -> bytes:
+        at = np.frombuffer(x, dtype="<i4")
+        return at[live[at]].tobytes()
+
+    def thinned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = [kept(x) for x in batch.column("at").to_pylist()]
+            swapped = [[kept(x) for x in versions] for versions in batch.column("swapped").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("label"), pa.array(at, pa.binary()), pa.array(swapped, pa.list_(pa.binary()))],
+                ["label", "at", "swapped"],
+            )
+
+    return thinned
+
+
 def held_out(key: str = "doc_id"):  # noqa: ANN201
     """Whether a row is kept from fitting: crc32 of the key as text, mod 5, is 0; null keys are kept from it too."""
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
 def learn(
-    docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE, key: str = "doc_id"
+    docs: DataFrame,
+    labels: DataFrame,
+    label: str = "toxic",
+    sample: int = SAMPLE,
+    key: str = "doc_id",
+    text: str = "text",
 ) -> tuple[np.ndarray, float]:
-    """Fit on at most `sample` rows of each class."""
+    """Fit on at most `sample` rows of each class.
+
+    What reaches the driver is bounded: sums per hashed feature, and of each sampled row the features of the model.
+    """
     known = labels.select(F.col(key).alias("doc_id"), F.col(label).cast("int").alias("label"))
     known = known.where(F.col("label").isin(0, 1) & ~held_out())
     shares = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
@@ -209,15 +244,22 @@ def learn(
     ]
     chosen = staged(chosen[0].unionByName(chosen[1]), "toxic-sample")
     # 2 * sample rows at most
-    rows = docs.select(F.col(key).alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"))
     rows = rows.join(F.broadcast(chosen), "doc_id").select("label", "text")
-    rows = staged(
-        rows.mapInArrow(_extracted, "label int, at binary, swapped array<binary>"), "toxic-features"
-    )
-    found = [
-        (np.frombuffer(r["at"], dtype="<i4"), [np.frombuffer(x, dtype="<i4") for x in r["swapped"]], r["label"])
-        for r in rows.orderBy(F.xxhash64("at"), "label").limit(2 * sample).toLocalIterator()
-    ]
+    schema = "label int, at binary, swapped array<binary>"
+    rows = staged(rows.mapInArrow(_extracted, schema), "toxic-features")
+    sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    found = []
+    if len(sizes) == 2:
+        # sums over hashed features, however long the texts are
+        tally = rows.mapInArrow(_tallied, "feature long, zeros long, ones long").groupBy("feature")
+        tally = tally.agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones")).toArrow()
+        feature, zeros, ones = (tally.column(c).to_numpy() for c in ("feature", "zeros", "ones"))
+        order = np.argsort(feature)
+        strongest = feature[order][telling(ones[order], zeros[order], sizes[1], sizes[0])][:MODEL]
+        found = rows.mapInArrow(_within(strongest), schema).collect()
+    found = sorted((r["label"], bytes(r["at"]), tuple(map(bytes, r["swapped"]))) for r in found)
+    found = [(np.frombuffer(at, "<i4"), [np.frombuffer(x, "<i4") for x in swapped], y) for y, at, swapped in found]
     total = sum(shares.values())
     rate = min(0.9, max(0.01, shares.get(1, 0) / total)) if total else 0.5
     return fit(found, rate)
@@ -233,7 +275,7 @@ def score(
 ) -> DataFrame:
     """One row per document: doc_id, held_out, score (0 to 1), predicted (1 from 0.5)."""
     source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    weights, bias = learn(source, labels, label, sample, "doc_id")
+    weights, bias = learn(docs, labels, label, sample, key, text)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slabs(batches, "text"):
@@ -255,9 +297,7 @@ def clean(
     text: str = "text",
 ) -> DataFrame:
     """The documents with a score under 0.5, with all their columns."""
-    if text != "text" and "text" in docs.columns:
-        raise ValueError("another column is named text")
-    weights, bias = learn(docs.withColumnRenamed(text, "text"), labels, label, sample, key)
+    weights, bias = learn(docs, labels, label, sample, key, text)
 
     def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slabs(batches, text):

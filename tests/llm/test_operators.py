@@ -228,6 +228,29 @@ def test_toxicity_on_odd_rows(spark, odd, empty):
     assert all(0 <= r["score"] <= 1 for r in out)
     assert toxicity.score(empty, labels.limit(0)).count() == 0
     assert toxicity.clean(odd, labels.limit(0)).columns == odd.columns
+    assert toxicity.clean(empty, labels).count() == 0
+    renamed = odd.withColumnRenamed("text", "body").withColumn("text", F.lit("clash"))
+    assert toxicity.clean(renamed, labels, text="body").columns == renamed.columns
+
+
+def test_toxicity_on_held_out_rows(spark):
+    """Ranks held-out documents, and a text with its group terms swapped keeps its score."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    held = toxicity.score(docs, labels).where("held_out").join(labels, "doc_id").select("score", "toxic").collect()
+    ones = np.array([r["score"] for r in held if r["toxic"] == 1])
+    zeros = np.array([r["score"] for r in held if r["toxic"] == 0])
+    auc = (ones[:, None] > zeros).mean() + 0.5 * (ones[:, None] == zeros).mean()
+    assert auc > 0.93
+    assert (ones >= 0.5).mean() > 0.85
+    assert (zeros >= 0.5).mean() < 0.03
+    weights, _ = toxicity.learn(docs, labels)
+    texts = [x for (x,) in docs.where("text rlike '(?i)women|black|muslim|they'").select("text").limit(200).collect()]
+    gaps = []
+    for x in texts:
+        z = [weights[toxicity.features([v.encode()])[1]].sum() for v in (x, *toxicity.counterfactuals(x))]
+        gaps += [abs(z[0] - v) for v in z[1:]]
+    assert max(gaps, default=0) < 0.5
 
 
 # --- token counts
