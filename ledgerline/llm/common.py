@@ -44,6 +44,11 @@ def staged(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_broadcast(df: DataFrame, rows: int = 500_000) -> DataFrame:
+    """df with a broadcast hint if it has few rows; df must be a staged table with columns of fixed width."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def release(spark: SparkSession) -> None:
     """Have the driver drop what is no longer referred to, so that Spark frees the shuffle files of past steps."""
     gc.collect()

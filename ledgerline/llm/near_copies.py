@@ -1,21 +1,23 @@
-"""Near copies by exact Jaccard similarity of word shingles: every pair of at least 4/5 is found, and none below.
+"""SimHash near-duplicates whose links are confirmed: every pair with a Jaccard similarity of at least 4/5, and none below.
 
 A text is its set of shingles of SHINGLE words (lower-cased, split at white space), as 64-bit hashes.
 
 1. Texts with equal words are one node.
-2. Nodes that share a MinHash band are compared with two nodes of that band.  This joins most of each large group
-   without listing its pairs; nothing depends on what it misses.
-3. The rest comes from prefixes, which miss nothing: with all shingles in one global order, two sets of similarity 4/5
-   or more share one of the first n - ceil(4n/5) + 1 of each.  Pairs that step 2 has joined already are left out.  Of c
-   common shingles in the prefixes follows an overlap of at most c plus the longer rest; only pairs for which that
-   is enough are compared.  The order puts shingles that are frequent in a sample last, so that few prefixes hold them;
+2. Nodes are looked up in the covering tables of their SimHash (see simhash.py): all that share a bucket are compared
+   with two nodes of that bucket.  This joins most of each large group without listing its pairs.
+3. A SimHash tells little about pairs near 4/5 (about ten of 64 bits differ there, which no covering family of a
+   bearable size spans), so the rest comes from prefixes, which miss nothing: with all shingles in one global order, two
+   sets of similarity 4/5 or more share one of the first n - ceil(4n/5) + 1 of each.  Pairs that step 2 has joined
+   already are left out.  The order puts shingles that are frequent in a sample last, so that few prefixes hold them;
    any order gives the same result.
 
-Each link is confirmed on both sets.  Components come from alternating stars.
+A pair is compared only if its sizes and bitmaps allow the similarity: a bitmap has the parity of the shingles in each
+of BITS parts, and two bitmaps differ in no more bits than the sets do in shingles, so that nothing is lost.  Each link
+is confirmed on both sets.  Components come from alternating stars.
 
 Edge cases: a text of fewer words than a shingle, or none, has one shingle of its whole sequence; rows without a key
 stay; repeated rows are copies; rows with one key and different texts are told apart by a checksum; an empty table gives
-an empty result.
+an empty result; other columns are kept by `one_of_each`, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,20 +28,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import release, slabs, staged
+from .common import bounded_broadcast, release, slabs, staged
 from .components import components
-from .simhash import xxh64
+from .simhash import covering_masks, fingerprints, xxh64
 
 SHINGLE = 5
-#: MinHash bands, and hashes in each.
-BANDS, ROWS = 8, 3
+#: Radius of the covering tables (2**(RADIUS + 1) - 1 of them), and bits of a bitmap.
+RADIUS, BITS = 4, 256
 #: One of so many documents is sampled for frequent shingles; found so often there, a shingle is frequent; at most.
 SAMPLE, FREQUENT, MOST = 8, 3, 50_000
-#: Pairs in a batch.
-PAIRS = 100_000
 _U = np.uint64
 _ODD = [_U(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63)]
 _MIX = _U(0xFF51AFD7ED558CCD)
@@ -82,15 +82,16 @@ def sets(texts: list[str], k: int = SHINGLE) -> list[np.ndarray]:
     return [np.unique(x) for x in np.split(hashes, np.cumsum(sizes)[:-1])] if texts else []
 
 
-def bands(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """BANDS signatures of each text."""
-    edges = np.cumsum(sizes) - sizes
-    out = np.zeros((len(sizes), BANDS), dtype=np.uint64)
-    with np.errstate(over="ignore"):
-        for i in range(BANDS * ROWS):
-            least = np.minimum.reduceat(_mixed(hashes * _ODD[1] + _U(i + 1) * _ODD[2]), edges)
-            out[:, i // ROWS] = _mixed(out[:, i // ROWS] * _ODD[3] + least + _U(i // ROWS))
-    return out
+def node_of(words: list[str]) -> int:
+    return xxhash.xxh3_64_intdigest(" ".join(words))
+
+
+def bitmaps(found: list[np.ndarray]) -> np.ndarray:
+    """Parity of the shingles in each of BITS parts, as BITS / 64 signed integers of each set."""
+    sizes = np.array([len(x) for x in found])
+    place = (np.concatenate(found) >> _U(64 - BITS.bit_length() + 1)).astype(np.int64)
+    bits = np.bincount(np.repeat(np.arange(len(found)), sizes) * BITS + place, minlength=len(found) * BITS) & 1
+    return np.packbits(bits.astype(np.uint8).reshape(-1, BITS), axis=1, bitorder="little").view("<i8")
 
 
 def prefix(found: np.ndarray, frequent: np.ndarray, rank: np.ndarray) -> np.ndarray:
@@ -115,6 +116,14 @@ def _texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return [x or "" for x in batch.column(column).to_pylist()]
 
 
+def allowed(a: str, b: str) -> Column:
+    """Whether sizes and bitmaps of two sets, in the aliases a and b, allow a similarity of 4/5."""
+    both = F.col(f"{a}.n") + F.col(f"{b}.n")
+    apart = sum(F.bit_count(F.col(f"{a}.bits")[i].bitwiseXOR(F.col(f"{b}.bits")[i])) for i in range(BITS // 64))
+    most = F.least(F.floor((both - apart) / 2), F.col(f"{a}.n"), F.col(f"{b}.n"))
+    return 9 * most >= 4 * both
+
+
 def _confirmed(pairs: DataFrame, source: DataFrame, nodes: DataFrame) -> DataFrame:
     """Those of the pairs (a, b) of nodes whose texts have a similarity of 4/5 or more."""
 
@@ -132,13 +141,35 @@ def _confirmed(pairs: DataFrame, source: DataFrame, nodes: DataFrame) -> DataFra
             yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
     asked = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "node")
-    named = source.join(nodes.join(asked, "node"), ["doc_id", "tag"]).select("node", "text")
-    named = staged(named, "near-texts")
+    asked = staged(nodes.select("node", "doc_id", "tag").join(asked, "node"), "near-asked")
+    named = staged(source.join(bounded_broadcast(asked), ["doc_id", "tag"]).select("node", "text"), "near-texts")
     a = named.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     b = named.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     return pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b").mapInArrow(compared, "a long, b long")
 
 
+def _stars(nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes: in each bucket of the covering tables, every node with two of them."""
+    masks = covering_masks(RADIUS)
+    # in each table other nodes come first and last, so that a group has other hubs in each
+    turns = [int(x) for x in np.random.default_rng(20240607).integers(-(1 << 63), 1 << 63, len(masks))]
+    tables = F.from_json(
+        F.lit(str([{"table": i, "mask": m, "turn": t} for i, (m, t) in enumerate(zip(masks, turns, strict=True))]).replace("'", '"')),
+        "array<struct<table: smallint, mask: bigint, turn: bigint>>",
+    )
+    keyed = nodes.select("node", "fp", F.explode(tables).alias("t")).select(
+        F.col("t.table").alias("table"),
+        F.col("fp").bitwiseAND(F.col("t.mask")).alias("bucket"),
+        F.col("node").bitwiseXOR(F.col("t.turn")).alias("turned"),
+        F.col("t.turn").alias("turn"),
+    )
+    hubs = keyed.groupBy("table", "bucket").agg(F.min("turned").alias("low"), F.max("turned").alias("high"))
+    spokes = keyed.join(staged(hubs.where("low <> high"), "near-hubs"), ["table", "bucket"])
+    ends = [(F.col(x).bitwiseXOR(F.col("turn")), F.col("turned").bitwiseXOR(F.col("turn"))) for x in ("low", "high")]
+    pairs = [spokes.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")) for x, y in ends]
+    return pairs[0].union(pairs[1]).where("a < b").distinct()
+
+
 def _frequent(source: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Shingles found often in a sample, ascending, and their ranks from the least frequent on; at most MOST."""
 
@@ -161,64 +192,26 @@ def _candidates(source: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFr
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slabs(batches, "text"):
-            found = sets(_texts(batch))
-            heads = [prefix(x, frequent, rank) for x in found]
-            row = np.repeat(np.arange(len(found)), [len(x) for x in heads])
+            data = _texts(batch)
+            heads = [prefix(x, frequent, rank) for x in sets(data)]
+            node = np.array([node_of(x.lower().split()) for x in data], dtype=np.uint64).view(np.int64)
+            owner = np.repeat(node, [len(x) for x in heads])
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate(heads).view(np.int64)),
-                    batch.column("node").take(pa.array(row)),
-                    batch.column("root").take(pa.array(row)),
-                    pa.array(np.array([len(x) for x in found], dtype=np.int32)[row]),
-                ],
-                ["h", "node", "root", "n"],
+                [pa.array(np.concatenate(heads).view(np.int64)), pa.array(owner)], ["h", "node"]
             )
 
-    def crossed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Pairs in each group whose sizes allow the similarity; a large group is listed in parts."""
-        held: list[np.ndarray] = []
-
-        def packed() -> pa.RecordBatch:
-            a, b, na, nb = np.concatenate(held, axis=1)
-            held.clear()
-            swap = a > b
-            columns = [np.where(swap, b, a), np.where(swap, a, b), np.where(swap, nb, na), np.where(swap, na, nb)]
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["a", "b", "na", "nb"])
-
-        for batch in batches:
-            lists = batch.column("m")
-            ends = np.cumsum(pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False))
-            flat = lists.flatten()
-            node, root, n = (flat.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3))
-            size = 0
-            for start, end in zip(np.concatenate([[0], ends[:-1]]), ends, strict=True):
-                order = start + np.argsort(n[start:end], kind="stable")
-                x, r, s = node[order], root[order], n[order]
-                until = np.searchsorted(s, 5 * s // 4, side="right")
-                for i in range(len(x) - 1):
-                    j = i + 1 + np.nonzero(r[i + 1 : until[i]] != r[i])[0]
-                    if len(j):
-                        held.append(np.stack([np.full(len(j), x[i]), x[j], np.full(len(j), s[i]), s[j]]))
-                        size += len(j)
-                    if size >= PAIRS:
-                        yield packed()
-                        size = 0
-            if held:
-                yield packed()
-
-    unique = source.join(nodes.join(roots, "node", "left"), ["doc_id", "tag"])
-    unique = unique.select("node", F.coalesce("root", "node").alias("root"), "text")
-    heads = unique.mapInArrow(cut, "h long, node long, root long, n int")
-    groups = heads.groupBy("h").agg(F.collect_list(F.struct("node", "root", "n")).alias("m"))
-    groups = groups.where(F.size("m") > 1).where(F.array_min("m.root") < F.array_max("m.root")).select("m")
-    counted = groups.mapInArrow(crossed, "a long, b long, na long, nb long")
-    counted = counted.groupBy("a", "b").agg(F.count("*").alias("c"), F.first("na").alias("na"), F.first("nb").alias("nb"))
-
-    def rest(n: str):  # noqa: ANN202
-        return F.ceil(F.col(n) * 4 / 5) - 1
-
-    overlap = F.col("c") + F.greatest(rest("na"), rest("nb"))
-    return counted.where(9 * overlap >= 4 * (F.col("na") + F.col("nb"))).select("a", "b")
+    heads = staged(source.select("text").mapInArrow(cut, "h long, node long"), "near-heads")
+    # most of the rarest shingles of a text are its own: only those of two nodes go on
+    shared = heads.groupBy("h").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
+    met = heads.join(staged(shared.select("h"), "near-shared"), "h").distinct()
+    about = nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "n", "bits")
+    met = staged(met.join(about, "node"), "near-met")
+    release(source.sparkSession)
+    a, b = met.alias("a"), met.alias("b")
+    sizes = (4 * F.col("a.n") <= 5 * F.col("b.n")) & (4 * F.col("b.n") <= 5 * F.col("a.n"))
+    apart = (F.col("a.node") < F.col("b.node")) & (F.col("a.root") != F.col("b.root"))
+    pairs = a.join(b, (F.col("a.h") == F.col("b.h")) & apart & sizes & allowed("a", "b"))
+    return pairs.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
 
 
 def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -227,36 +220,39 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slabs(batches, "text"):
             words = [x.lower().split() for x in _texts(batch)]
-            found = bands(*shingles(words)).view(np.int64)
-            node = np.array([xxhash.xxh3_64_intdigest(" ".join(x)) for x in words], dtype=np.uint64).view(np.int64)
-            lists = pa.ListArray.from_arrays(np.arange(0, found.size + 1, BANDS, dtype=np.int32), found.ravel())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("tag"), pa.array(node), lists], ["doc_id", "tag", "node", "bands"]
-            )
+            hashes, sizes = shingles(words)
+            found = [np.unique(x) for x in np.split(hashes, np.cumsum(sizes)[:-1])]
+            bits = bitmaps(found)
+            width = bits.shape[1]
+            lists = pa.ListArray.from_arrays(np.arange(0, bits.size + 1, width, dtype=np.int32), bits.ravel())
+            columns = {
+                "node": pa.array(np.array([node_of(x) for x in words], dtype=np.uint64).view(np.int64)),
+                "fp": pa.array(fingerprints([" ".join(x).encode() for x in words], SHINGLE).view(np.int64)),
+                "n": pa.array([len(x) for x in found], pa.int64()),
+                "bits": lists,
+            }
+            own = [batch.column("doc_id"), batch.column("tag")]
+            yield pa.RecordBatch.from_arrays([*own, *columns.values()], ["doc_id", "tag", *columns])
 
     source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     checksum = F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8"))
     source = source.where("doc_id is not null").withColumn("tag", checksum)
-    rows = source.select("doc_id", "tag", "text").mapInArrow(
-        named, "doc_id long, tag long, node long, bands array<bigint>"
+    schema = "doc_id long, tag long, node long, fp long, n long, bits array<bigint>"
+    rows = staged(source.select("doc_id", "tag", "text").mapInArrow(named, schema), "near-rows")
+    # one document stands for each node; what else a node has is the same in all of them
+    nodes = rows.groupBy("node").agg(
+        F.min(F.struct("doc_id", "tag")).alias("r"), *(F.first(x).alias(x) for x in ("fp", "n", "bits"))
     )
-    rows = staged(rows, "near-rows")
-    nodes = rows.groupBy("node").agg(F.min(F.struct("doc_id", "tag")).alias("r"), F.first("bands").alias("bands"))
-    nodes = staged(nodes.select("node", "r.doc_id", "r.tag", "bands"), "near-nodes")
-    dealt = nodes.select("node", F.posexplode("bands").alias("band", "sig"))
-    # by a hash of node and band, so that a group has other hubs in each band
-    turn = F.xxhash64("node", "band")
-    hubs = dealt.groupBy("band", "sig").agg(F.min_by("node", turn).alias("low"), F.max_by("node", turn).alias("high"))
-    spokes = dealt.join(hubs.where("low <> high"), ["band", "sig"])
-    spokes = spokes.select("node", F.col("low").alias("hub")).union(spokes.select("node", "high"))
-    stars = spokes.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).where("a < b").distinct()
-    nodes = nodes.drop("bands")
-    first = staged(_confirmed(staged(stars, "near-stars"), source, nodes).distinct(), "near-first")
+    nodes = staged(nodes.select("node", "r.doc_id", "r.tag", "fp", "n", "bits"), "near-nodes")
+    stars = staged(_stars(nodes), "near-stars")
+    met = stars.alias("p").join(nodes.alias("a"), F.col("p.a") == F.col("a.node"))
+    met = met.join(nodes.alias("b"), F.col("p.b") == F.col("b.node")).where(allowed("a", "b")).select("p.a", "p.b")
+    first = staged(_confirmed(staged(met, "near-likely"), source, nodes), "near-first")
     roots = staged(components(first), "near-roots")
     release(docs.sparkSession)
     pairs = staged(_candidates(source, nodes, roots), "near-pairs")
     release(docs.sparkSession)
-    second = staged(_confirmed(pairs, source, nodes).distinct(), "near-second")
+    second = staged(_confirmed(pairs, source, nodes), "near-second")
     roots = components(first.union(second))
     placed = nodes.join(staged(roots, "near-joined"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     placed = staged(placed.select("node", "root", "doc_id"), "near-placed")

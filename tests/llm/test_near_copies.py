@@ -65,14 +65,22 @@ def test_the_stage_keeps_one_of_each_group_of_similarity_four_fifths(spark, sf_d
 
 
 def test_prefixes_alone_find_every_pair(spark, near, monkeypatch):
-    """Nothing depends on the MinHash stars, nor on which shingles are taken for frequent."""
-    no_bands = lambda h, n: h[0] + np.arange(near_copies.BANDS * len(n), dtype=np.uint64).reshape(len(n), -1)
-    monkeypatch.setattr(near_copies, "bands", no_bands)
+    """Nothing depends on the covering tables, nor on which shingles are taken for frequent."""
+    monkeypatch.setattr(near_copies, "covering_masks", lambda radius: [-1])
     monkeypatch.setattr(near_copies, "FREQUENT", 1)
     df = spark.createDataFrame([(k, x) for k, x in near.items()], "doc_id long, text string")
     assert {r["doc_id"] for r in near_copies.one_of_each(df).collect()} == survivors(near)
 
 
+def test_bitmaps_never_differ_in_more_bits_than_the_sets_in_shingles():
+    rng = np.random.default_rng(1)
+    pool = rng.integers(0, 1 << 63, 4000, dtype=np.int64).astype(np.uint64) * np.uint64(2)
+    found = [np.unique(rng.choice(pool, int(n))) for n in rng.integers(1, 900, 60)]
+    bits = near_copies.bitmaps(found)
+    for (x, p), (y, q) in itertools.combinations(zip(found, bits, strict=True), 2):
+        assert sum(int(i ^ j).bit_count() if i ^ j >= 0 else (int(i ^ j) + (1 << 64)).bit_count() for i, j in zip(p, q, strict=True)) <= len(np.setxor1d(x, y))
+
+
 def test_odd_rows(odd, empty):
     out = near_copies.one_of_each(odd)
     assert out.columns == odd.columns
