@@ -7,7 +7,6 @@ no equal, and only the others need a closer look.  This loses nothing.
 
 from __future__ import annotations
 
-import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,6 +17,9 @@ from pyspark.sql import functions as F
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _TABLE = np.random.default_rng(77003).integers(1, 1 << 62, 256, dtype=np.int64).astype(np.uint64)
+#: For a second hash that is independent of the first.
+_OTHER_TABLE = np.random.default_rng(91019).integers(1, 1 << 62, 256, dtype=np.int64).astype(np.uint64)
+_OTHER_STEP = np.uint64(0xD6E8FEB86659FD93)
 _WHITE = np.zeros(256, dtype=bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
 _LOW = np.uint64((1 << 31) - 1)
@@ -46,18 +48,21 @@ def word_spans(data: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     return buffer, starts, ends, np.diff(np.searchsorted(starts, limits), prepend=0)
 
 
-def word_symbols(data: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each word of all texts, number of words of each text)."""
+def word_symbols(data: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash of each word of all texts, another hash of each, number of words of each text)."""
     buffer, starts, ends, counts = word_spans(data)
     if not len(starts):
-        return np.zeros(0, np.uint64), counts
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), counts
     sizes = ends - starts
     first = np.cumsum(sizes) - sizes
     letters = buffer[np.repeat(starts - first, sizes) + np.arange(sizes.sum())]
     place = np.arange(sizes.sum()) - np.repeat(first, sizes)
+    found = []
     with np.errstate(over="ignore"):
-        powers = np.cumprod(np.full(int(sizes.max()), _STEP, dtype=np.uint64))
-        return mix(np.add.reduceat(_TABLE[letters] * powers[place], first) + sizes.astype(np.uint64)), counts
+        for table, step in ((_TABLE, _STEP), (_OTHER_TABLE, _OTHER_STEP)):
+            powers = np.cumprod(np.full(int(sizes.max()), step, dtype=np.uint64))
+            found.append(mix(np.add.reduceat(table[letters] * powers[place], first) + sizes.astype(np.uint64)))
+    return *found, counts
 
 
 def rolling(symbols: np.ndarray, length: int) -> np.ndarray:
@@ -137,50 +142,73 @@ def runs(symbols: np.ndarray, counts: np.ndarray, window: int, block: int) -> Ru
     return Runs(text[first], at[first] - of, at[last] - of, anchor[first] - of, blocks[anchor[first]], base)
 
 
-def asked(
-    keys: np.ndarray, doc: np.ndarray, tag: np.ndarray, place: np.ndarray, across: bool
-) -> pa.RecordBatch:
-    """Rows (kind, key, doc_id, tag, place) that say or ask which keys are found elsewhere.
+class Asker:
+    """Rows (kind, key, doc_id, tag, place) that say or ask which keys are found elsewhere, slab by slab.
 
-    kind 0: found again in this slab (across: in another document); kind 2: such a key's one row that other slabs can
-    meet; kind 1: a key that is alone here.  So a key has few rows from each slab, however frequent it is.
+    kind 0: found again in this task (across: in another document); kind 2: such a key's one row that other tasks can
+    meet; kind 1: a key that is alone so far.  The latest KEPT keys of a task are remembered, so that a key has few rows
+    from each task that another must meet, however frequent it is.
     """
-    order = np.lexsort((place, doc, keys))
-    keys, doc, tag, place = keys[order], doc[order], tag[order], place[order]
-    first = np.ones(len(keys), dtype=bool)
-    first[1:] = keys[1:] != keys[:-1]
-    group = np.cumsum(first) - 1
-    heads = np.nonzero(first)[0]
-    tails = np.append(heads[1:], len(keys))[: len(heads)] - 1
-    if across:
-        again = (doc[heads] != doc[tails])[group]
-    else:
-        again = (tails > heads)[group]
-    parts = [(np.zeros(again.sum(), np.int8), again), (np.full((again & first).sum(), 2, np.int8), again & first)]
-    parts.append((np.ones((~again).sum(), np.int8), ~again))
-    chosen = np.concatenate([np.nonzero(m)[0] for _, m in parts])
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(np.concatenate([k for k, _ in parts])),
-            pa.array(keys[chosen].view(np.int64)),
-            pa.array(doc[chosen]),
-            pa.array(tag[chosen]),
-            pa.array(place[chosen].astype(np.int32)),
-        ],
-        ["kind", "key", "doc_id", "tag", "place"],
-    )
+
+    KEPT = 400_000
+
+    def __init__(self, across: bool) -> None:
+        self.across = across
+        self.keys, self.doc, self.again = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool)
+
+    def rows(self, keys: np.ndarray, doc: np.ndarray, tag: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
+        order = np.lexsort((place, doc, keys))
+        keys, doc, tag, place = keys[order], doc[order], tag[order], place[order]
+        first = np.ones(len(keys), dtype=bool)
+        first[1:] = keys[1:] != keys[:-1]
+        heads = np.nonzero(first)[0]
+        tails = np.append(heads[1:], len(keys))[: len(heads)] - 1
+        again, said = (doc[heads] != doc[tails]) if self.across else (tails > heads), np.zeros(len(heads), bool)
+        if len(self.keys) and len(heads):
+            at = np.minimum(np.searchsorted(self.keys, keys[heads]), len(self.keys) - 1)
+            seen = self.keys[at] == keys[heads]
+            said = seen & self.again[at]
+            again = again | said | (seen & ((self.doc[at] != doc[heads]) if self.across else True))
+        self._remember(keys[heads], doc[heads], again)
+        group = np.cumsum(first) - 1
+        for_all, asks = again[group], np.zeros(len(keys), bool)
+        asks[heads[again & ~said]] = True
+        parts = [(np.zeros(for_all.sum(), np.int8), for_all), (np.full(asks.sum(), 2, np.int8), asks)]
+        parts.append((np.ones((~for_all).sum(), np.int8), ~for_all))
+        chosen = np.concatenate([np.nonzero(m)[0] for _, m in parts])
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.concatenate([k for k, _ in parts])),
+                pa.array(keys[chosen].view(np.int64)),
+                pa.array(doc[chosen]),
+                pa.array(tag[chosen]),
+                pa.array(place[chosen].astype(np.int32)),
+            ],
+            ["kind", "key", "doc_id", "tag", "place"],
+        )
+
+    def _remember(self, keys: np.ndarray, doc: np.ndarray, again: np.ndarray) -> None:
+        if len(self.keys) + len(keys) > self.KEPT:
+            self.keys, self.doc, self.again = keys, doc, again
+            return
+        # the new state of a key comes first, so that it is the one kept
+        every, at = np.unique(np.concatenate([keys, self.keys]), return_index=True)
+        self.keys = every
+        self.doc, self.again = np.concatenate([doc, self.doc])[at], np.concatenate([again, self.again])[at]
 
 
 ASKED = "kind byte, key long, doc_id long, tag long, place int"
 
 
-def tags(data: list[bytes]) -> np.ndarray:
-    """Tells rows with one key apart by their text."""
-    return np.array([zlib.crc32(x) for x in data], dtype=np.int64)
+def tagged(docs: DataFrame) -> DataFrame:
+    """docs (doc_id, text) with a tag that tells rows with one key apart by their texts; 0 where keys do not repeat."""
+    repeats = docs.groupBy("doc_id").count().where("count > 1").limit(1).count()
+    checksum = F.coalesce(F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")), F.lit(0))
+    return docs.withColumn("tag", checksum if repeats else F.lit(0).cast("long"))
 
 
 def found_again(rows: DataFrame, across: bool) -> DataFrame:
-    """(doc_id, tag, places) of the keys that are found elsewhere."""
+    """(key, doc_id, tag, place) of the keys that are found elsewhere."""
     # a row whose answer is known has a group of its own
     known = F.when(F.col("kind") == 0, F.struct("doc_id", "place"))
     by_key = Window.partitionBy("key", known)
@@ -189,4 +217,23 @@ def found_again(rows: DataFrame, across: bool) -> DataFrame:
     else:
         again = F.count("*").over(by_key) > 1
     said = rows.withColumn("again", again).where("kind = 0 or (kind = 1 and again)")
+    return said.select("key", "doc_id", "tag", "place")
+
+
+def by_document(said: DataFrame) -> DataFrame:
+    """(doc_id, tag, places)."""
     return said.groupBy("doc_id", "tag").agg(F.collect_list("place").alias("places"))
+
+
+def column(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    """A column of longs without nulls."""
+    return batch.column(name).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def marked(runs_: Runs, batch: pa.RecordBatch) -> Runs:
+    """The runs whose anchors stand in the list column `places`."""
+    lists = batch.column("places")
+    sizes = pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    row, place = np.repeat(np.arange(batch.num_rows), sizes), lists.flatten().to_numpy(zero_copy_only=False)
+    wide = np.int64(1) << np.int64(40)
+    return runs_.take(np.isin(runs_.text * wide + runs_.anchor, row * wide + place))

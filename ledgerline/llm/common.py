@@ -41,7 +41,17 @@ def staged(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing still to be computed reads, not even after the loss of an executor."""
+    for df in tables:
+        if path := getattr(df, "staged_path", None):
+            there = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            there.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(there, True)
 
 
 def bounded_broadcast(df: DataFrame, rows: int = 500_000) -> DataFrame:

@@ -1,12 +1,15 @@
 """Substring deduplication by relative Lempel-Ziv parsing.
 
-Documents are parsed into factors against an index of reference blocks: every run of WINDOW words of every document,
-under an earlier document that holds it (the least key, or the least one of the slab that the row was read in).  A join
-of window hashes finds the blocks known from earlier documents; neighbouring blocks of one reference make a factor.
-The place in the reference is not kept.  Factors have WINDOW words at least, and their words are duplicates.
+The reference is the corpus itself: every block of WINDOW words is indexed under its earliest occurrence, the least
+(key, place).  Each document is parsed into factors greedily: at a place whose block an earlier document holds, a factor
+starts at that occurrence and is extended for as long as the next block's occurrence is the next place of the same
+document; there the next block is looked up anew, so that blocks across the boundary of two factors are not missed.
+Every factor is a run of words of its reference, WINDOW words at least, and its words are duplicates.
 
-To keep the index small, only blocks whose anchor (see anchors.py) is found in two documents are looked up; no other
-block can have an equal.
+The index is small, as only blocks whose anchor (see anchors.py) is found in two documents are in it; no other block can
+have an equal.  Runs of neighbouring blocks with one anchor travel as one row, equal runs of a slab as one row for all
+their documents.  Blocks are equal if their anchors' hashes and their own, which are independent, are (128 bits together).
+An anchor with more than GROUP runs is not looked up in one task: its blocks become rows and are grouped by hash.
 
 Edge cases: a null or empty text has no words; a row with a null key is no reference and stays whole; rows with one key
 and different texts are told apart by a checksum and are no references for each other; wholly repeated rows get equal
@@ -19,131 +22,211 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import anchors
-from .common import release, slabs, staged, texts
+from .common import bounded_broadcast, release, slabs, staged, texts
 
 #: Words of a window, and of the block at its anchor.
 WINDOW, BLOCK = 13, 5
+#: Blocks that are looked up at once, and runs of an anchor that are looked up in one task.
+AT_ONCE, GROUP = 500_000, 8192
+
+_RUNS = "anchor long, hashes array<bigint>, members array<struct<doc_id: bigint, tag: bigint, place: int>>"
+#: Neighbouring blocks of a document (from `place` on, n of them) that stand in a reference, from `at` on.
+_STRETCHES = "doc_id long, tag long, place int, n int, reference long, at int"
+
+
+def stretches(
+    doc: np.ndarray, tag: np.ndarray, place: np.ndarray, reference: np.ndarray, at: np.ndarray
+) -> pa.RecordBatch:
+    """Joins the blocks that go on in one reference.  Rows are in order of (doc, tag, place) within each run."""
+    new = np.ones(len(doc), dtype=bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1]) | (place[1:] != place[:-1] + 1)
+    new[1:] |= (reference[1:] != reference[:-1]) | (at[1:] != at[:-1] + 1)
+    first = np.nonzero(new)[0]
+    n = np.diff(np.append(first, len(doc)))
+    columns = (doc[first], tag[first], place[first].astype(np.int32), n.astype(np.int32), reference[first])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(x) for x in (*columns, at[first].astype(np.int32))],
+        ["doc_id", "tag", "place", "n", "reference", "at"],
+    )
 
 
-def _runs(data: list[bytes], window: int) -> tuple[np.ndarray, anchors.Runs]:
-    symbols, counts = anchors.word_symbols(data)
-    return symbols, anchors.runs(symbols, counts, window, min(BLOCK, window))
-
-
-def _keys(batch: pa.RecordBatch) -> np.ndarray:
-    return batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
-
-
-def _marks(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """(row, place) of the list column `places`."""
-    lists = batch.column("places")
-    sizes = pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-    return np.repeat(np.arange(batch.num_rows), sizes), lists.flatten().to_numpy(zero_copy_only=False)
-
-
-def parse(places: np.ndarray, sources: np.ndarray, window: int = WINDOW) -> list[tuple[int, int, int]]:
-    """Factors (first word, words, reference) from the blocks known from earlier documents, in order of place."""
-    if not len(places):
-        return []
-    opens = np.concatenate([[True], (np.diff(places) != 1) | (sources[1:] != sources[:-1])])
-    first = np.nonzero(opens)[0]
-    last = np.append(first[1:], len(places)) - 1
-    sizes = places[last] - places[first] + window
-    return list(zip(places[first].tolist(), sizes.tolist(), sources[first].tolist(), strict=True))
-
-
-def parsed(docs: DataFrame, window: int = WINDOW, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_words, n_removed, kept (text), factors (first, words, reference) of each document."""
+def looked_up(
+    hashes: list[np.ndarray], anchor: np.ndarray, owner: np.ndarray, doc: np.ndarray, tag: np.ndarray, place: np.ndarray
+) -> pa.RecordBatch:
+    """Stretches of the members of some runs, all runs of their anchors being there.
+
+    hashes: of each run; owner: the run of each member; doc, tag, place: the members' first blocks.
+    """
+    sizes = np.array([len(x) for x in hashes], dtype=np.int64)
+    base = np.cumsum(sizes) - sizes
+    n = sizes[owner]
+    member = np.repeat(np.arange(len(owner)), n)
+    step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    h = np.concatenate(hashes)[base[owner[member]] + step]
+    of, mine, where = anchor[owner[member]], doc[member], place[member] + step
+    order = np.lexsort((where, mine, h, of))
+    new = np.ones(len(h), dtype=bool)
+    new[1:] = (h[order][1:] != h[order][:-1]) | (of[order][1:] != of[order][:-1])
+    least = np.empty(len(h), dtype=np.int64)
+    least[order] = order[np.nonzero(new)[0]][np.cumsum(new) - 1]
+    known = mine[least] < mine
+    return stretches(mine[known], tag[member][known], where[known], mine[least][known], where[least][known])
+
+
+def _lookup(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From runs in order of their anchors: the stretches of all their members."""
+    held: list[tuple[int, np.ndarray, list]] = []
+    size = 0
+
+    def flush() -> pa.RecordBatch:
+        members = [(i, m["doc_id"], m["tag"], m["place"]) for i, (_, _, found) in enumerate(held) for m in found]
+        owner, doc, tag, place = (np.array(x, dtype=np.int64) for x in zip(*members, strict=True))
+        rows = looked_up([h for _, h, _ in held], np.array([a for a, _, _ in held]), owner, doc, tag, place)
+        held.clear()
+        return rows
+
+    for batch in batches:
+        lists = batch.column("hashes")
+        ends = np.cumsum(pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False))
+        hashes = np.split(lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), ends[:-1])
+        rows = zip(batch.column("anchor").to_pylist(), hashes, batch.column("members").to_pylist(), strict=True)
+        for anchor, h, members in rows:
+            if size >= AT_ONCE and held[-1][0] != anchor:
+                yield flush()
+                size = 0
+            held.append((anchor, h, members))
+            size += len(h) * len(members)
+    if held:
+        yield flush()
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stretches from single blocks, in order of document and place."""
+    for batch in batches:
+        yield stretches(*(anchors.column(batch, c) for c in ("doc_id", "tag", "place", "reference", "at")))
+
+
+def parse(found: list[tuple[int, int, int, int]], window: int = WINDOW) -> list[tuple[int, int, int, int]]:
+    """Factors (first word, words, reference, first word there) from stretches (place, blocks, reference, at)."""
+    factors: list[tuple[int, int, int, int]] = []
+    for place, n, reference, at in sorted(set(found)):
+        if factors:
+            first, words, source, there = factors[-1]
+            blocks = words - window + 1
+            # a stretch may go on in the next run
+            if place == first + blocks and reference == source and at == there + blocks:
+                factors[-1] = (first, words + n, source, there)
+                continue
+        factors.append((place, n + window - 1, reference, at))
+    return factors
+
+
+def parsed(
+    docs: DataFrame, window: int = WINDOW, key: str = "doc_id", text: str = "text", group: int = GROUP
+) -> DataFrame:
+    """doc_id, n_words, n_removed, kept (text), factors (first, words, reference, at) of each document."""
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asker = anchors.Asker(across=True)
         for batch in slabs(batches, "text"):
-            data, keys = texts(batch), _keys(batch)
-            _, runs = _runs(data, window)
-            yield anchors.asked(
-                runs.block, keys[runs.text], anchors.tags(data)[runs.text], runs.anchor, across=True
-            )
+            symbols, _, counts = anchors.word_symbols(texts(batch))
+            runs = anchors.runs(symbols, counts, window, min(BLOCK, window))
+            doc, tag = anchors.column(batch, "doc_id"), anchors.column(batch, "tag")
+            yield asker.rows(runs.block, doc[runs.text], tag[runs.text], runs.anchor)
 
-    def looked_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slabs(batches, "text"):
-            data, keys = texts(batch), _keys(batch)
-            symbols, runs = _runs(data, window)
-            row, place = _marks(batch)
-            wide = np.int64(1) << np.int64(40)
-            runs = runs.take(np.isin(runs.text * wide + runs.anchor, row * wide + place))
-            run, at = runs.windows()
-            whole = anchors.rolling(symbols, window)[runs.base[runs.text[run]] + at]
-            yield blocks(whole, keys[runs.text[run]], anchors.tags(data)[runs.text[run]], at)
-
-    def blocks(h: np.ndarray, doc: np.ndarray, tag: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
-        """Blocks with an earlier document in this slab know their source; the others ask."""
-        order = np.lexsort((at, doc, h))
-        h, doc, tag, at = h[order], doc[order], tag[order], at[order]
-        first = np.concatenate([[True], h[1:] != h[:-1]]) if len(h) else np.zeros(0, bool)
-        source = doc[np.nonzero(first)[0]][np.cumsum(first) - 1] if len(h) else doc
-        known = source < doc
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(h.view(np.int64)),
-                pa.array(doc),
-                pa.array(tag),
-                pa.array(at.astype(np.int32)),
-                pa.array(source, mask=~known),
-            ],
-            ["key", "doc_id", "tag", "place", "source"],
+            symbols, others, counts = anchors.word_symbols(texts(batch))
+            runs = anchors.marked(anchors.runs(symbols, counts, window, min(BLOCK, window)), batch)
+            whole = anchors.rolling(others, window).view(np.int64)
+            doc, tag = batch.column("doc_id").to_pylist(), batch.column("tag").to_pylist()
+            found: dict[tuple[int, bytes], list] = {}
+            start = runs.base[runs.text] + runs.low
+            columns = (runs.text, runs.low, runs.block.view(np.int64), start, start + runs.high - runs.low + 1)
+            for t, low, block, a, b in zip(*(x.tolist() for x in columns), strict=True):
+                member = {"doc_id": doc[t], "tag": tag[t], "place": low}
+                found.setdefault((block, whole[a:b].tobytes()), []).append(member)
+            hashes = [np.frombuffer(h, dtype=np.int64) for _, h in found]
+            offsets = np.cumsum([0, *map(len, hashes)], dtype=np.int32)
+            flat = np.concatenate(hashes) if hashes else np.zeros(0, np.int64)
+            member_type = pa.struct([("doc_id", pa.int64()), ("tag", pa.int64()), ("place", pa.int32())])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([block for block, _ in found], pa.int64()),
+                    pa.ListArray.from_arrays(offsets, flat),
+                    pa.array(list(found.values()), pa.list_(member_type)),
+                ],
+                ["anchor", "hashes", "members"],
+            )
+
+    def spread_out(dealt: DataFrame, some: DataFrame) -> DataFrame:
+        """Stretches of the runs of crowded anchors: every block has a row of its own."""
+        runs = dealt.join(anchors.by_document(some), ["doc_id", "tag"]).mapInArrow(indexed, _RUNS)
+        rows = runs.select("anchor", F.posexplode("hashes").alias("step", "h"), "members")
+        rows = rows.select("anchor", "h", "step", F.explode("members").alias("m")).select(
+            "anchor", "h", "m.doc_id", "m.tag", (F.col("m.place") + F.col("step")).alias("place")
         )
+        rows = staged(rows, "lz-blocks")
+        least = rows.groupBy("anchor", "h").agg(F.min(F.struct("doc_id", "place")).alias("least"))
+        known = rows.join(least, ["anchor", "h"]).where("least.doc_id < doc_id")
+        known = known.select(
+            "doc_id", "tag", "place", F.col("least.doc_id").alias("reference"), F.col("least.place").alias("at")
+        )
+        dealt_out = known.repartition("doc_id", "tag").sortWithinPartitions("doc_id", "tag", "place")
+        return dealt_out.mapInArrow(_joined, _STRETCHES)
 
     def rewritten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slabs(batches, "text"):
             total, removed, kept, factors = [], [], [], []
-            for x, hits in zip(texts(batch), batch.column("hits").to_pylist(), strict=True):
+            for x, found in zip(texts(batch), batch.column("found").to_pylist(), strict=True):
                 words = np.array(x.split(), dtype=object)
-                hits = sorted({(h["place"], h["source"]) for h in hits or []})
-                found = parse(
-                    np.array([p for p, _ in hits], dtype=np.int64), np.array([s for _, s in hits], dtype=np.int64), window
-                )
+                parts = parse([(s["place"], s["n"], s["reference"], s["at"]) for s in found or []], window)
                 keep = np.ones(len(words), dtype=bool)
-                for first, n, _ in found:
+                for first, n, _, _ in parts:
                     keep[first : first + n] = False
                 total.append(len(words))
                 removed.append(int(len(words) - keep.sum()))
                 kept.append(b" ".join(words[keep].tolist()).decode("utf-8"))
-                factors.append([{"first": a, "words": b, "reference": c} for a, b, c in found])
-            factor = pa.struct([("first", pa.int32()), ("words", pa.int32()), ("reference", pa.int64())])
+                factors.append([dict(zip(("first", "words", "reference", "at"), f, strict=True)) for f in parts])
+            kinds = [("first", pa.int32()), ("words", pa.int32()), ("reference", pa.int64()), ("at", pa.int32())]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     pa.array(total, pa.int64()),
                     pa.array(removed, pa.int64()),
                     pa.array(kept, pa.string()),
-                    pa.array(factors, pa.list_(factor)),
+                    pa.array(factors, pa.list_(pa.struct(kinds))),
                 ],
                 ["doc_id", "n_words", "n_removed", "kept", "factors"],
             )
 
     source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    named = source.where("doc_id is not null")
-    marks = staged(anchors.found_again(named.mapInArrow(sampled, anchors.ASKED), True), "lz-marks")
+    dealt = anchors.tagged(source.where("doc_id is not null"))
+    said = staged(anchors.found_again(dealt.mapInArrow(sampled, anchors.ASKED), True), "lz-said")
     release(docs.sparkSession)
-    # both joins below deal the documents out alike, so that their texts are shuffled once
-    checksum = F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8"))
-    dealt = named.withColumn("tag", F.coalesce(checksum, F.lit(0)))
-    rows = dealt.join(marks, ["doc_id", "tag"]).mapInArrow(
-        looked_up, "key long, doc_id long, tag long, place int, source long"
-    )
-    # a block whose source is known has a group of its own
-    alone = F.when(F.col("source").isNotNull(), F.struct("doc_id", "place"))
-    least = F.min("doc_id").over(Window.partitionBy("key", alone))
-    hits = rows.withColumn("source", F.coalesce("source", least)).where("source < doc_id")
-    hits = hits.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("place", "source")).alias("hits"))
-    none = F.lit(None).cast("array<struct<place:int,source:bigint>>")
-    nameless = source.where("doc_id is null").withColumn("hits", none)
+    crowded = staged(said.groupBy("key").count().where(F.col("count") > group).select("key"), "lz-crowded")
+    few, spread = said, []
+    if crowded.count():
+        few = said.join(bounded_broadcast(crowded), "key", "left_anti")
+        spread = [staged(spread_out(dealt, said.join(bounded_broadcast(crowded), "key", "left_semi")), "lz-spread")]
+
+    def runs_of(some: DataFrame) -> DataFrame:
+        return dealt.join(anchors.by_document(some), ["doc_id", "tag"]).mapInArrow(indexed, _RUNS)
+
+    # in one plan with the last join, which deals the documents out alike, so that their texts are shuffled once
+    found = runs_of(few).repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_lookup, _STRETCHES)
+    for more in spread:
+        found = found.unionByName(more)
+    found = found.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("place", "n", "reference", "at")).alias("found"))
+    none = F.lit(None).cast("array<struct<place:int,n:int,reference:bigint,at:int>>")
+    nameless = source.where("doc_id is null").withColumn("found", none)
     schema = (
         "doc_id long, n_words long, n_removed long, kept string, "
-        "factors array<struct<first: int, words: int, reference: bigint>>"
+        "factors array<struct<first: int, words: int, reference: bigint, at: int>>"
     )
-    found = dealt.join(hits, ["doc_id", "tag"], "left").select("doc_id", "text", "hits")
-    return found.mapInArrow(rewritten, schema).unionByName(nameless.mapInArrow(rewritten, schema))
+    known = dealt.join(found, ["doc_id", "tag"], "left").select("doc_id", "text", "found")
+    return known.mapInArrow(rewritten, schema).unionByName(nameless.mapInArrow(rewritten, schema))

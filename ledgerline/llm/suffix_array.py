@@ -27,8 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import anchors
-from .common import release, slabs, staged, texts
-from .relative_lz import _keys, _marks
+from .common import bounded_broadcast, discard, release, slabs, staged, texts
 
 WINDOW, BLOCK = 400, 101
 #: Bytes of contexts that are sorted at once, and distinct contexts of a block that are sorted in one place.
@@ -81,6 +80,29 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     return out
 
 
+def equal_windows(raw: np.ndarray, a: np.ndarray, b: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Those of the pairs of places whose windows have equal bytes.
+
+    Where the pair one place before is here too, the windows' last bytes tell; other pairs are compared in whole.
+    """
+    order = np.lexsort((a, b - a))
+    a, b = a[order], b[order]
+    head = np.ones(len(a), dtype=bool)
+    head[1:] = (a[1:] != a[:-1] + 1) | (b[1:] != b[:-1] + 1)
+    equal = raw[a + window - 1] == raw[b + window - 1]
+
+    def compare(which: np.ndarray) -> None:
+        rows = np.lib.stride_tricks.sliding_window_view(raw, window) if len(which) else None
+        for i in range(0, len(which), 4096):
+            part = which[i : i + 4096]
+            equal[part] = (rows[a[part]] == rows[b[part]]).all(axis=1)
+
+    compare(np.nonzero(head)[0])
+    if not equal.all():  # hashes that met by chance
+        compare(np.arange(len(a)))
+    return a[equal], b[equal]
+
+
 def repeated(contexts: list[bytes], window: int = WINDOW) -> list[np.ndarray]:
     """For each context a flag for every window: whether it starts elsewhere in these contexts too."""
     sizes = np.array([len(x) for x in contexts], dtype=np.int64)
@@ -95,10 +117,11 @@ def repeated(contexts: list[bytes], window: int = WINDOW) -> list[np.ndarray]:
     for a, n in zip(starts, sizes, strict=True):
         valid[a : a + n - window + 1] = True
     order = order[valid[order]]
-    same = whole[order[1:]] == whole[order[:-1]]
+    same = np.nonzero(whole[order[1:]] == whole[order[:-1]])[0]
+    a, b = equal_windows(raw, order[same], order[same + 1], window)
     flags = np.zeros(len(s), dtype=bool)
-    flags[order[1:][same]] = True
-    flags[order[:-1][same]] = True
+    flags[a] = True
+    flags[b] = True
     return [flags[a : a + n - window + 1] for a, n in zip(starts, sizes, strict=True)]
 
 
@@ -204,20 +227,16 @@ def cleaned(
     """doc_id, n_bytes, n_removed, n_spans, kept (binary) of each document."""
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asker = anchors.Asker(across=False)
         for batch in slabs(batches, "text"):
-            data, keys = texts(batch), _keys(batch)
-            runs = anchors.runs(*anchors.byte_symbols(data), window, block)
-            yield anchors.asked(
-                runs.block, keys[runs.text], anchors.tags(data)[runs.text], runs.anchor, across=False
-            )
+            runs = anchors.runs(*anchors.byte_symbols(texts(batch)), window, block)
+            doc, tag = anchors.column(batch, "doc_id"), anchors.column(batch, "tag")
+            yield asker.rows(runs.block, doc[runs.text], tag[runs.text], runs.anchor)
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slabs(batches, "text"):
-            data, keys, tag = texts(batch), _keys(batch), batch.column("tag").to_pylist()
-            runs = anchors.runs(*anchors.byte_symbols(data), window, block)
-            row, place = _marks(batch)
-            wide = np.int64(1) << np.int64(40)
-            runs = runs.take(np.isin(runs.text * wide + runs.anchor, row * wide + place))
+            data, keys, tag = texts(batch), batch.column("doc_id").to_pylist(), batch.column("tag").to_pylist()
+            runs = anchors.marked(anchors.runs(*anchors.byte_symbols(data), window, block), batch)
             found: dict[bytes, tuple[int, bytes, list]] = {}
             columns = (runs.text, runs.low, runs.high, runs.block.view(np.int64))
             for t, low, high, b in zip(*(x.tolist() for x in columns), strict=True):
@@ -267,20 +286,20 @@ def cleaned(
 
     spark = docs.sparkSession
     source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    named = source.where("doc_id is not null")
-    marks = staged(anchors.found_again(named.mapInArrow(sampled, anchors.ASKED), False), "sa-marks")
+    dealt = anchors.tagged(source.where("doc_id is not null"))
+    said = anchors.found_again(dealt.mapInArrow(sampled, anchors.ASKED), False)
+    marks = staged(anchors.by_document(said), "sa-marks")
     release(spark)
-    checksum = F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8"))
-    dealt = named.withColumn("tag", F.coalesce(checksum, F.lit(0)))
     schema = (
         "block long, name binary, n long, context binary, places array<struct<doc_id: bigint, tag: bigint, low: int>>"
     )
     held = staged(dealt.join(marks, ["doc_id", "tag"]).mapInArrow(contexts, schema), "sa-contexts")
+    discard(marks)
     release(spark)
     crowded = (
         held.select("block", "name").distinct().groupBy("block").count().where(F.col("count") > group).select("block")
     )
-    crowded = staged(crowded, "sa-crowded")
+    crowded = bounded_broadcast(staged(crowded, "sa-crowded"))
     rows = held.select("block", "name", "n", "context")
     met = rows.join(crowded, "block", "left_anti").repartition("block").sortWithinPartitions("block", "name")
     spans = met.mapInArrow(_sorted_places(window), _SPANS)

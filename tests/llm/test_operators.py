@@ -13,6 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from ledgerline.llm import (
+    anchors,
     bpe,
     exact_dedup,
     mixing,
@@ -306,19 +307,63 @@ def plain_windows(data, window):
         yield i, w, gone
 
 
-@pytest.mark.parametrize("window", [13, 5])
-def test_relative_lz(docs, odd, empty, window):
+@pytest.mark.parametrize(("window", "group"), [(13, relative_lz.GROUP), (5, relative_lz.GROUP), (13, 2)])
+def test_relative_lz(docs, odd, empty, window, group):
+    """What is removed is right, and every factor is a run of words of its reference; crowded anchors or not."""
     for df in (docs, odd):
         data = [(r["doc_id"], r["text"]) for r in df.collect()]
         expected = collections.Counter(
             (i, len(w), sum(g), " ".join(x for x, y in zip(w, g, strict=True) if not y)) for i, w, g in plain_windows(data, window)
         )
-        out = relative_lz.parsed(df, window).collect()
+        out = relative_lz.parsed(df, window, group=group).collect()
         assert collections.Counter((r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in out) == expected
-        assert all(f["words"] >= window and f["reference"] < r["doc_id"] for r in out for f in r["factors"])
+        held = collections.defaultdict(list)
+        for i, x in data:
+            held[i].append(WORD.findall(x or ""))
+        for r in out:
+            assert all(f["words"] >= window and f["reference"] < r["doc_id"] for f in r["factors"])
+            places = [(f["first"], f["first"] + f["words"]) for f in r["factors"]]
+            assert places == sorted(set(places))
+            assert any(
+                all(
+                    w[f["first"] : f["first"] + f["words"]] in [v[f["at"] : f["at"] + f["words"]] for v in held[f["reference"]]]
+                    for f in r["factors"]
+                )
+                for w in held[r["doc_id"]]
+            )
     assert relative_lz.parsed(empty).count() == 0
 
 
+def test_factors_go_on_across_runs_and_start_anew_at_boundaries():
+    found = [(0, 3, 7, 10), (3, 2, 7, 13), (5, 1, 8, 0), (9, 1, 7, 19)]
+    assert relative_lz.parse(found, 13) == [(0, 17, 7, 10), (5, 13, 8, 0), (9, 13, 7, 19)]
+    assert relative_lz.parse([]) == []
+
+
+def test_a_key_that_is_everywhere_has_two_asking_rows_of_a_task():
+    asker = anchors.Asker(across=True)
+    kinds = collections.Counter()
+    for i in range(50):
+        keys = np.array([5, 5, 100 + i], dtype=np.uint64)
+        batch = asker.rows(keys, np.array([i, i, i]), np.zeros(3, np.int64), np.arange(3))
+        rows = zip(batch.column("key").to_pylist(), batch.column("kind").to_pylist(), strict=True)
+        kinds.update((k == 5, kind) for k, kind in rows)
+    assert kinds == {(True, 1): 2, (True, 0): 98, (True, 2): 1, (False, 1): 50}
+
+
+def test_equal_windows_are_told_by_their_bytes():
+    rng = np.random.default_rng(3)
+    raw = rng.integers(0, 2, 600).astype(np.uint8)
+    raw[300:420] = raw[100:220]
+    a, b = (x.ravel() for x in np.meshgrid(np.arange(0, 560, 3), np.arange(1, 560, 2)))
+    diagonal = np.arange(90, 215)
+    a, b = np.concatenate([a, diagonal]), np.concatenate([b, diagonal + 200])
+    found = set(zip(*(x.tolist() for x in suffix_array.equal_windows(raw, a, b, 12)), strict=True))
+    plain = {(i, j) for i, j in zip(a.tolist(), b.tolist(), strict=True) if bytes(raw[i : i + 12]) == bytes(raw[j : j + 12])}
+    assert found == plain
+    assert {(i, i + 200) for i in range(100, 209)} <= found
+
+
 # --- BPE
 
 
