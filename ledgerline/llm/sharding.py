@@ -1,11 +1,12 @@
 """Sharding by fixed virtual slots: records hash into thousands of slots, and a versioned slot-to-shard map places slots.
 
-Rows with equal texts hash into one slot, so that they share a shard.  A group of equal texts that alone has more than
-half of a shard's fair share of bytes is salted by its key over all slots, so that no group unbalances the shards.
-Bytes are summed per slot; slots go, largest first, to the shard with the fewest bytes.  The map is a small table
-(one row per slot) with a version; `rebalance` makes the next version by moving as few slots as it can.
+Rows with equal texts hash into one slot, so that they share a shard.  Only a group of equal texts with more bytes than a
+shard's fair share, which no shard can hold, is salted by its key over all slots.  Bytes are summed per slot.  The map is
+a small table (one row per slot) with a version: the first one deals slots out in turn, and `rebalance` edits a version
+into the next one by moving slots from the fullest shard to the emptiest until no move makes them more alike.
 
-Only the sums per slot (a fixed number of rows) reach the driver.
+Rows are numbered within a shard by slot, then by part: a slot has one part for every PART_ROWS rows (dealt by key), so
+that no task numbers a large slot alone.  Only the sums per slot (a fixed number of rows) reach the driver.
 
 Edge cases: a null text has zero bytes and the CRC of an empty text; null and repeated keys are rows like any other;
 an empty table gives an empty result; other columns are not carried, so that their names cannot clash.
@@ -13,59 +14,53 @@ an empty table gives an empty result; other columns are not carried, so that the
 
 from __future__ import annotations
 
-import heapq
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import int_array, shared_dir, staged, text_or_empty
+from .common import bounded_broadcast, int_array, shared_dir, staged, text_or_empty
 
 #: Virtual slots; fixed for the life of a corpus.
 SLOTS = 4096
-#: Parts in which the rows of a slot are numbered.
-PARTS = 8
-
-
-def place_slots(slot_bytes: dict[int, int], shards: int, slots: int = SLOTS) -> list[int]:
-    """The shard of each slot: largest slot first, to the shard with the fewest bytes."""
-    heap = [(0, s) for s in range(shards)]
-    placed = [0] * slots
-    for slot in sorted(range(slots), key=lambda s: (-slot_bytes.get(s, 0), s)):
-        load, shard = heapq.heappop(heap)
-        placed[slot] = shard
-        # an empty slot counts as one byte, so that such slots spread too
-        heapq.heappush(heap, (load + max(1, slot_bytes.get(slot, 0)), shard))
-    return placed
+#: Rows of a slot that are numbered in one task.
+PART_ROWS = 1 << 20
 
 
 def rebalance(placed: list[int], slot_bytes: dict[int, int], shards: int) -> list[int]:
-    """An edited map for `shards` shards: slots leave overfull (or removed) shards for the emptiest one only."""
-    placed = list(placed)
-    load = [0] * shards
+    """An edited map for `shards` shards: slots of removed shards, then slots of the fullest one, go to the emptiest one.
+
+    A slot moves only if that leaves the two shards more alike.  Where shards are new, slots move into those only.
+    """
+    placed, old = list(placed), max(placed) + 1
+    load, own = [0] * shards, [set() for _ in range(shards)]
     loose = []
     for slot, shard in enumerate(placed):
         if shard < shards:
             load[shard] += slot_bytes.get(slot, 0)
+            own[shard].add(slot)
         else:
             loose.append(slot)
-    for slot in sorted(loose, key=lambda s: -slot_bytes.get(s, 0)):
-        target = min(range(shards), key=load.__getitem__)
+
+    def move(slot: int, target: int) -> None:
         placed[slot] = target
         load[target] += slot_bytes.get(slot, 0)
-    fair = sum(load) / shards
-    own: list[list[int]] = [[] for _ in range(shards)]
-    for slot, shard in enumerate(placed):
-        own[shard].append(slot)
-    for shard in range(shards):
-        for slot in sorted(own[shard], key=lambda s: -slot_bytes.get(s, 0)):
-            size = slot_bytes.get(slot, 0)
-            target = min(range(shards), key=load.__getitem__)
-            if size and target != shard and load[shard] - size >= fair and load[target] + size <= fair * 1.001 + 1:
-                placed[slot] = target
-                load[shard] -= size
-                load[target] += size
-    return placed
+        own[target].add(slot)
+
+    for slot in sorted(loose, key=lambda s: (-slot_bytes.get(s, 0), s)):
+        move(slot, min(range(shards), key=lambda s: (load[s], len(own[s]), s)))
+    takers = range(old, shards) if old < shards else range(shards)
+    while True:
+        full, empty = max(range(shards), key=load.__getitem__), min(takers, key=load.__getitem__)
+        gap = load[full] - load[empty]
+        fit = [s for s in own[full] if 0 < slot_bytes.get(s, 0) < gap]
+        if not fit:
+            return placed
+        # nearest to half of the gap
+        slot = min(fit, key=lambda s: (abs(gap - 2 * slot_bytes[s]), s))
+        own[full].remove(slot)
+        load[full] -= slot_bytes[slot]
+        move(slot, empty)
 
 
 def save_map(spark: SparkSession, path: str, placed: list[int], version: int) -> None:
@@ -110,27 +105,32 @@ def shard(docs: DataFrame, shards: int = 8, key: str = "doc_id", text: str = "te
         "shard-rows",
     )
     total = rows.agg(F.sum("size")).head()[0] or 0
-    # at most 2 * shards groups can have so many bytes
-    groups = rows.groupBy("content").agg(F.sum("size").alias("bytes")).where(F.col("bytes") > total / (2 * shards))
+    # fewer than `shards` groups can have so many bytes
+    groups = rows.groupBy("content").agg(F.sum("size").alias("bytes")).where(F.col("bytes") > total / shards)
     hot = [r["content"] for r in groups.collect()]
     rows = rows.withColumn("virtual_slot", slot_of(F.col("content"), F.col("doc_id"), hot, slots))
-    rows = rows.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)).cast("int"))
-    counts = staged(
-        rows.groupBy("virtual_slot", "part").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")), "shard-slots"
-    )  # slots * PARTS rows at most
-    per_slot = counts.groupBy("virtual_slot").agg(F.sum("bytes").alias("bytes")).collect()
+    sums = rows.groupBy("virtual_slot").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).collect()
     path = f"{shared_dir(spark)}/slot-map-{uuid.uuid4().hex}"
-    save_map(spark, path, place_slots({r["virtual_slot"]: int(r["bytes"]) for r in per_slot}, shards, slots), 1)
+    save_map(spark, path, [slot % shards for slot in range(slots)], 1)
+    version, placed = load_map(spark, path)
+    save_map(spark, path, rebalance(placed, {r["virtual_slot"]: int(r["bytes"]) for r in sums}, shards), version + 1)
     _, placed = load_map(spark, path)
+    parts = [1] * slots
+    for r in sums:
+        parts[r["virtual_slot"]] = -(-r["n"] // PART_ROWS)
     of_slot = F.element_at(int_array(placed), F.col("virtual_slot") + 1).cast("int")
+    n_parts = F.element_at(int_array(parts), F.col("virtual_slot") + 1)
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("doc_id", "text_crc32"), n_parts).cast("int"))
+    counts = rows.groupBy("virtual_slot", "part").agg(F.count("*").alias("n")).withColumn("shard", of_slot)
     before = Window.partitionBy("shard").orderBy("virtual_slot", "part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = counts.select("virtual_slot", "part", "n", of_slot.alias("shard")).select(
+    # a row for each slot, and for every PART_ROWS rows
+    bases = counts.select(
         "virtual_slot", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")
     )
     within = Window.partitionBy("virtual_slot", "part").orderBy("doc_id", "text_crc32")
     return (
         rows.withColumn("rank", F.row_number().over(within))
-        .join(F.broadcast(bases), ["virtual_slot", "part"])
+        .join(bounded_broadcast(staged(bases, "shard-bases")), ["virtual_slot", "part"])
         .select(
             "doc_id",
             "size",
