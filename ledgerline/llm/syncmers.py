@@ -7,7 +7,11 @@ select equal k-mers wherever they stand.  At least one of any K - S + 1 neighbou
 fewer k-mers and none of them is, the one with the least hash stands in.  A k-mer's hash depends on all its tokens.
 
 The fingerprint keeps the SKETCH least hashes of the distinct selected k-mers; the likeness of two fingerprints is the
-share of common hashes among the SKETCH least of both together (a bottom-k estimate of their Jaccard similarity).
+share of common hashes among the SKETCH least of both together (a bottom-k estimate of their Jaccard similarity j, with
+a standard error of sqrt(j * (1 - j) / SKETCH), 0.072 at most; exact where both texts have no more k-mers than that.
+Hashes have 32 bits: of two sketches without a common k-mer, about 48 * 48 in 2**32 pairs have a common hash).
+`places` returns all selected k-mers with their places, and `matches` finds by them where texts run in parallel, however
+short the common passage is.
 
 Edge cases: a null or empty text, or one without visible characters, has an empty fingerprint (like another empty one by
 1, like any other by 0); fewer than K tokens make one k-mer of them all; repeated rows and equal keys are ordered by
@@ -19,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import int_array, text_or_empty
 
 K, S = 6, 2
 #: Hashes in a fingerprint.
@@ -28,8 +32,8 @@ TOKEN = (
     r"[\p{L}\p{M}\p{N}&&[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]]{1,32}"
     r"|[^\s\p{Z}\p{C}]"
 )
-#: Documents in a range of keys, and ranges at most.
-RANGE_DOCS, MAX_RANGES = 500, 1_000_000
+#: Documents in a range of keys, ranges between quantiles of the keys, and equal parts of such a range at most.
+RANGE_DOCS, QUANTILES, MAX_PARTS = 500, 4096, 256
 
 
 def _pairs(a: Column, b: Column, shift: int, f) -> Column:  # noqa: ANN001
@@ -90,17 +94,54 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(F.size(union) == 0, 1.0).otherwise(both / F.size(union)).cast("double")
 
 
-def with_next(rows: DataFrame, ranges: int, low: float, width: float) -> DataFrame:
+def places(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, place (of its first token), name of every selected k-mer of each document."""
+    found = docs.select(
+        F.col(key).cast("long").alias("doc_id"), F.posexplode(selected(text_or_empty(text))).alias("place", "name")
+    )
+    return found.where("name is not null")
+
+
+def matches(queries: DataFrame, docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = 2) -> DataFrame:
+    """query_id, doc_id, shift, anchors, first, last: stretches at one shift of places with at least `least` k-mers in common.
+
+    first, last: places of the outermost common k-mers in the document.  queries: a stated set, matched against all rows.
+    """
+    asked = places(queries, key, text).select(F.col("doc_id").alias("query_id"), F.col("place").alias("at"), "name")
+    met = places(docs, key, text).join(asked, "name").where(~F.col("query_id").eqNullSafe(F.col("doc_id")))
+    return (
+        met.groupBy("query_id", "doc_id", (F.col("place") - F.col("at")).alias("shift"))
+        .agg(F.count("*").alias("anchors"), F.min("place").alias("first"), F.max("place").alias("last"))
+        .where(F.col("anchors") >= least)
+    )
+
+
+def _part(cuts: list[int], inner: list[int]) -> Column:
+    """The range of a key: between which quantiles it lies (by bisection), and in which of inner[i] equal parts there."""
+    key, bounds = F.col("doc_id"), int_array(cuts)
+    steps = [1 << i for i in reversed(range(len(cuts).bit_length()))]
+    found = F.aggregate(
+        int_array(steps),
+        F.lit(0).cast("long"),
+        lambda n, step: n + F.when(F.get(bounds, (n + step - 1).cast("int")) <= key, step).otherwise(F.lit(0).cast("long")),
+    )
+    found = F.when(key.isNull(), F.lit(0).cast("long")).otherwise(found)
+    if not any(n > 1 for n in inner):
+        return found
+    low, high = (F.get(bounds, (found + i).cast("int")).cast("double") for i in (-1, 0))
+    parts = F.get(int_array(inner), found.cast("int"))
+    place = F.floor((key.cast("double") - low) / (high - low) * parts)
+    return found * MAX_PARTS + F.coalesce(F.greatest(F.lit(0), F.least(place, parts - 1)), F.lit(0)).cast("long")
+
+
+def with_next(rows: DataFrame, part: Column) -> DataFrame:
     """Each row with the next one's text and sketch (after the last: the first).  rows: doc_id, text, content, prints.
 
     Rows are dealt by ranges of the key; the last row of a range meets the first one of the next range that has rows.
     """
-    part = F.coalesce(
-        F.least(F.lit(ranges - 1), F.floor((F.col("doc_id").cast("double") - low) / width)), F.lit(-1)
-    ).cast("long")
     dealt = rows.withColumn("part", part).repartition("part")
     order = Window.partitionBy("part").orderBy("doc_id", "content")
-    # the range before each one that has rows; at most MAX_RANGES ranges
+    # the range before each one that has rows; at most QUANTILES * MAX_PARTS ranges
     parts = dealt.select("part").distinct()
     before = parts.select("part", F.lag("part").over(Window.orderBy("part")).alias("before"))
     before = before.crossJoin(F.broadcast(parts.agg(F.max("part").alias("top"))))
@@ -119,19 +160,31 @@ def with_next(rows: DataFrame, ranges: int, low: float, width: float) -> DataFra
     )
 
 
+def ranges(source: DataFrame, range_docs: int = RANGE_DOCS) -> Column:
+    """The range of a row's key, so that ranges have about `range_docs` rows wherever the keys lie."""
+    n = source.count()
+    wanted = max(1, n // range_docs)
+    if wanted == 1:
+        return F.lit(0).cast("long")
+    quantiles = min(QUANTILES, wanted)
+    shares = [i / quantiles for i in range(1, quantiles)]
+    found = source.agg(F.percentile_approx("doc_id", shares, 20 * quantiles)).head()[0] or []
+    cuts = sorted(set(found))
+    inner = min(MAX_PARTS, -(-wanted // quantiles))
+    # the outermost ranges have no two ends
+    return _part(cuts, [1, *[inner] * (len(cuts) - 1), 1])
+
+
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of each document.
 
     The edited text has the last floor(n_chars / 2) code points replaced by the next document's first as many.
     """
     source = docs.select(F.col(key).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
-    span = source.agg(F.count("*").alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).head()
-    ranges = max(1, min(MAX_RANGES, span["n"] // RANGE_DOCS))
-    low, high = float(span["low"] or 0), float(span["high"] or 0)
     rows = source.select(
         "doc_id", "text", F.xxhash64("text").alias("content"), sketch(F.col("text")).alias("prints")
     )
-    paired = with_next(rows, ranges, low, (high - low + 1) / ranges)
+    paired = with_next(rows, ranges(source))
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(
         F.substring(F.col("text"), F.lit(1), F.length("text") - half), F.substring("next.text", F.lit(1), half)

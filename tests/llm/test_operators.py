@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import struct
 import zlib
 
 import duckdb
@@ -73,6 +74,78 @@ def test_syncmers_are_closed_and_free_of_context(spark):
     assert found[0][10 : 40 - syncmers.K] == found[1][1 : 31 - syncmers.K]
 
 
+def plain_syncmers(text):
+    """Places and names of the selected k-mers, for words of letters and digits."""
+
+    def of_longs(*values):
+        seed = 42
+        for v in values:
+            seed = xxhash.xxh64_intdigest(struct.pack("<q", v), seed)
+        return seed - (1 << 64) if seed >> 63 else seed
+
+    h = [xxhash.xxh64_intdigest(w, 42) for w in text.split()]
+    h = [x - (1 << 64) if x >> 63 else x for x in h]
+    if len(h) < syncmers.K:
+        return {0: of_longs(*h)} if h else {}
+    s = [of_longs(a, b) for a, b in zip(h, h[1:], strict=False)]
+    names, out = {}, {}
+    for i in range(len(h) - syncmers.K + 1):
+        window = s[i : i + 5]
+        names[i] = of_longs(of_longs(window[0], window[2]), window[4])
+        if min(window) in (window[0], window[4]):
+            out[i] = names[i]
+    return out or {i: x for i, x in names.items() if x == min(names.values())}
+
+
+def test_syncmers_equal_a_plain_version(spark):
+    rng = np.random.default_rng(11)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 60, n)) for n in [*range(6, 40), 150, 400]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = collections.defaultdict(dict)
+    for r in syncmers.places(df).collect():
+        found[r["doc_id"]][r["place"]] = r["name"]
+    assert [found[i] for i in range(len(texts))] == [plain_syncmers(x) for x in texts]
+    least = [sorted({(x & (1 << 64) - 1) >> 32 for x in f.values()})[: syncmers.SKETCH] for f in found.values()]
+    out = rows(syncmers.fingerprints(df))
+    for i in range(len(texts)):
+        assert out[i]["fingerprint"] == "".join(f"{x:08x}" for x in least[i])
+        other = least[(i + 1) % len(texts)]
+        both = sorted({*least[i], *other})[: syncmers.SKETCH]
+        assert out[i]["near_next"] == pytest.approx(sum(x in least[i] and x in other for x in both) / len(both))
+
+
+def test_syncmers_match_by_place(spark):
+    rng = np.random.default_rng(12)
+    word = lambda n: [f"v{x}" for x in rng.integers(0, 10**6, n)]
+    passage = word(40)
+    texts = [[*word(300), *passage, *word(200)], [*word(25), *passage, *word(900)], word(400)]
+    df = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(texts)], "doc_id long, text string")
+    found = syncmers.matches(df.where("doc_id = 0"), df).collect()
+    assert [(r["query_id"], r["doc_id"], r["shift"]) for r in found] == [(0, 1, -275)]
+    assert 25 <= found[0]["first"] <= found[0]["last"] <= 25 + 40 - syncmers.K
+
+
+def test_an_outlying_key_does_not_bring_all_rows_into_one_range(spark):
+    ids = [*range(5000), 2**62, None]
+    df = spark.createDataFrame([(i, f"text {i}") for i in ids], "doc_id long, text string")
+    sizes = df.groupBy(syncmers.ranges(df, 100).alias("part")).count().collect()
+    assert max(r["count"] for r in sizes) <= 300
+    found = rows(syncmers.fingerprints(df))
+    ids = [None, *range(5000), 2**62]
+    for a, b in zip(ids, [*ids[1:], None], strict=True):
+        x, y = f"text {a}", f"text {b}"
+        assert found[a]["edited_sha256"] == sha(x[: len(x) - len(x) // 2] + y[: len(x) // 2])
+
+
+def test_ranges_between_quantiles_keep_the_order(spark, monkeypatch):
+    monkeypatch.setattr(syncmers, "QUANTILES", 8)
+    df = spark.range(4000).selectExpr("id * id * id AS doc_id")
+    parts = [r[0] for r in df.orderBy("doc_id").select(syncmers.ranges(df, 50)).collect()]
+    assert parts == sorted(parts)
+    assert len(set(parts)) > 40
+    assert max(collections.Counter(parts).values()) < 600
+
+
 def test_syncmers_on_odd_rows(odd, empty):
     out = syncmers.fingerprints(odd).collect()
     assert len(out) == odd.count()
@@ -105,9 +178,49 @@ def test_hot_texts_are_spread(spark):
     assert max(load.values()) - min(load.values()) < 0.02 * sum(load.values())
 
 
+def test_groups_that_fit_in_a_shard_stay_whole_and_many_empty_texts_are_numbered_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "PART_ROWS", 100)
+    df = spark.range(8000).selectExpr(
+        "id AS doc_id",
+        "CASE WHEN id % 10 < 3 THEN '' WHEN id % 40 = 3 THEN repeat('the same text ', 6) ELSE concat('quite another text, of number ', id) END AS text",
+    )
+    out = sharding.shard(df, 8).collect()
+    load, homes, slots = collections.Counter(), collections.defaultdict(set), collections.defaultdict(list)
+    share = collections.Counter()
+    for r in out:
+        load[r["shard"]] += r["size"]
+        homes[r["text_crc32"]].add(r["shard"])
+        slots[r["shard"]].append(r["slot"])
+        share[r["text_crc32"]] += r["size"]
+    total = sum(load.values())
+    assert 0.06 < max(share.values()) / total < 0.125
+    assert all(len(x) == 1 for x in homes.values())
+    assert max(load.values()) - min(load.values()) < 0.001 * total
+    assert all(sorted(x) == list(range(len(x))) for x in slots.values())
+
+
+def test_placement_equals_a_plain_version(docs, texts):
+    sizes, slot = collections.Counter(), {}
+    for i, x in texts.items():
+        slot[i] = (lambda h: h - (1 << 64) if h >> 63 else h)(xxhash.xxh64_intdigest(x, 42)) % sharding.SLOTS
+        sizes[slot[i]] += len(x.encode()) + 1
+    placed = [s % 8 for s in range(sharding.SLOTS)]
+    while True:
+        load = [sum(sizes[s] for s in range(sharding.SLOTS) if placed[s] == k) for k in range(8)]
+        full, empty = load.index(max(load)), load.index(min(load))
+        gap = load[full] - load[empty]
+        fit = [s for s in range(sharding.SLOTS) if placed[s] == full and 0 < sizes[s] < gap]
+        if not fit:
+            break
+        placed[min(fit, key=lambda s: (abs(gap - 2 * sizes[s]), s))] = empty
+    found = rows(sharding.shard(docs, 8))
+    assert {i: found[i]["virtual_slot"] for i in texts} == slot
+    assert {i: found[i]["shard"] for i in texts} == {i: placed[slot[i]] for i in texts}
+
+
 def test_slot_maps_are_versioned_and_moves_go_to_the_new_shard(spark, tmp_path):
     sizes = {s: 100 + s % 7 for s in range(sharding.SLOTS)}
-    old = sharding.place_slots(sizes, 8)
+    old = sharding.rebalance([0] * sharding.SLOTS, sizes, 8)
     new = sharding.rebalance(old, sizes, 9)
     moved = [s for s in range(sharding.SLOTS) if old[s] != new[s]]
     assert moved
