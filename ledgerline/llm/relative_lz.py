@@ -9,7 +9,7 @@ Every factor is a run of words of its reference, WINDOW words at least, and its
 The index is small, as only blocks whose anchor (see anchors.py) is found in two documents are in it; no other block can
 have an equal.  Runs of neighbouring blocks with one anchor travel as one row, equal runs of a slab as one row for all
 their documents.  Blocks are equal if their anchors' hashes and their own, which are independent, are (128 bits together).
-An anchor with more than GROUP runs is not looked up in one task: its blocks become rows and are grouped by hash.
+An anchor with more than GROUP places is not looked up in one task: its blocks become rows and are grouped by hash.
 
 Edge cases: a null or empty text has no words; a row with a null key is no reference and stays whole; rows with one key
 and different texts are told apart by a checksum and are no references for each other; wholly repeated rows get equal
@@ -30,84 +30,129 @@ from .common import bounded_broadcast, release, slabs, staged, texts
 
 #: Words of a window, and of the block at its anchor.
 WINDOW, BLOCK = 13, 5
-#: Blocks that are looked up at once, and runs of an anchor that are looked up in one task.
-AT_ONCE, GROUP = 500_000, 8192
-
-_RUNS = "anchor long, hashes array<bigint>, members array<struct<doc_id: bigint, tag: bigint, place: int>>"
-#: Neighbouring blocks of a document (from `place` on, n of them) that stand in a reference, from `at` on.
-_STRETCHES = "doc_id long, tag long, place int, n int, reference long, at int"
-
-
-def stretches(
-    doc: np.ndarray, tag: np.ndarray, place: np.ndarray, reference: np.ndarray, at: np.ndarray
-) -> pa.RecordBatch:
-    """Joins the blocks that go on in one reference.  Rows are in order of (doc, tag, place) within each run."""
-    new = np.ones(len(doc), dtype=bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1]) | (place[1:] != place[:-1] + 1)
-    new[1:] |= (reference[1:] != reference[:-1]) | (at[1:] != at[:-1] + 1)
-    first = np.nonzero(new)[0]
-    n = np.diff(np.append(first, len(doc)))
-    columns = (doc[first], tag[first], place[first].astype(np.int32), n.astype(np.int32), reference[first])
-    return pa.RecordBatch.from_arrays(
-        [pa.array(x) for x in (*columns, at[first].astype(np.int32))],
-        ["doc_id", "tag", "place", "n", "reference", "at"],
-    )
+#: Blocks that are looked up at once, and places of an anchor that are looked up in one task.
+AT_ONCE, GROUP = 500_000, 32_768
+
+#: Packed longs (hashes, docs, tags) and ints: places of each document, and all places in order of the documents.
+_RUNS = "anchor long, hashes binary, docs binary, tags binary, counts binary, places binary"
+#: n neighbouring blocks of a document, from each of `places` on, that stand in a reference from `at` on.
+_STRETCHES = "doc_id long, tag long, places array<int>, n int, reference long, at int"
+_BLOCKS = "anchor long, h long, step int, docs binary, tags binary, counts binary, places binary, doc long, place long"
+
+
+def _flat(table: pa.RecordBatch | pa.Table, name: str, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """All values of a packed column, and how many each row has."""
+    column = table.column(name)
+    sizes = pa.compute.binary_length(column).to_numpy().astype(np.int64) // np.dtype(kind).itemsize
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=kind).astype(np.int64), sizes
+
 
+def _packed(rows: list[np.ndarray], kind: type) -> pa.Array:
+    return pa.array([np.asarray(x, dtype=kind).tobytes() for x in rows], pa.binary())
 
-def looked_up(
-    hashes: list[np.ndarray], anchor: np.ndarray, owner: np.ndarray, doc: np.ndarray, tag: np.ndarray, place: np.ndarray
-) -> pa.RecordBatch:
-    """Stretches of the members of some runs, all runs of their anchors being there.
 
-    hashes: of each run; owner: the run of each member; doc, tag, place: the members' first blocks.
-    """
-    sizes = np.array([len(x) for x in hashes], dtype=np.int64)
-    base = np.cumsum(sizes) - sizes
-    n = sizes[owner]
-    member = np.repeat(np.arange(len(owner)), n)
+class Members:
+    """The documents of each run of a table and their places."""
+
+    def __init__(self, table: pa.RecordBatch | pa.Table) -> None:
+        self.doc, self.n = _flat(table, "docs", np.int64)
+        self.tag, _ = _flat(table, "tags", np.int64)
+        self.counts, _ = _flat(table, "counts", np.int32)
+        self.places, _ = _flat(table, "places", np.int32)
+        self.base = np.cumsum(self.counts) - self.counts
+        #: run of each document
+        self.owner = np.repeat(np.arange(len(self.n)), self.n)
+
+    def stretches(
+        self, member: np.ndarray, step: np.ndarray, n: np.ndarray, reference: np.ndarray, at: np.ndarray
+    ) -> pa.RecordBatch:
+        counts = self.counts[member]
+        row = np.repeat(np.arange(len(member)), counts)
+        inner = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        places = (self.places[self.base[member][row] + inner] + step[row]).astype(np.int32)
+        offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+        columns = {
+            "doc_id": pa.array(self.doc[member]),
+            "tag": pa.array(self.tag[member]),
+            "places": pa.ListArray.from_arrays(offsets, places),
+            "n": pa.array(n.astype(np.int32)),
+            "reference": pa.array(reference),
+            "at": pa.array(at.astype(np.int32)),
+        }
+        return pa.RecordBatch.from_arrays([*columns.values()], [*columns])
+
+
+def looked_up(table: pa.Table) -> pa.RecordBatch:
+    """Stretches of the documents of some runs, all runs of their anchors being there."""
+    hashes, sizes = _flat(table, "hashes", np.int64)
+    members, base = Members(table), np.cumsum(sizes) - sizes
+    n = sizes[members.owner]
+    member = np.repeat(np.arange(len(members.owner)), n)
     step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    h = np.concatenate(hashes)[base[owner[member]] + step]
-    of, mine, where = anchor[owner[member]], doc[member], place[member] + step
+    run = members.owner[member]
+    h, of = hashes[base[run] + step], table.column("anchor").to_numpy()[run]
+    mine, where = members.doc[member], members.places[members.base][member] + step
     order = np.lexsort((where, mine, h, of))
     new = np.ones(len(h), dtype=bool)
     new[1:] = (h[order][1:] != h[order][:-1]) | (of[order][1:] != of[order][:-1])
     least = np.empty(len(h), dtype=np.int64)
     least[order] = order[np.nonzero(new)[0]][np.cumsum(new) - 1]
-    known = mine[least] < mine
-    return stretches(mine[known], tag[member][known], where[known], mine[least][known], where[least][known])
+    known = np.nonzero(mine[least] < mine)[0]
+    member, step, reference, at = member[known], step[known], mine[least][known], where[least][known]
+    # blocks of a document that go on in one reference
+    opens = np.ones(len(known), dtype=bool)
+    opens[1:] = (member[1:] != member[:-1]) | (step[1:] != step[:-1] + 1)
+    opens[1:] |= (reference[1:] != reference[:-1]) | (at[1:] != at[:-1] + 1)
+    first = np.nonzero(opens)[0]
+    count = np.diff(np.append(first, len(known)))
+    return members.stretches(member[first], step[first], count, reference[first], at[first])
 
 
 def _lookup(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From runs in order of their anchors: the stretches of all their members."""
-    held: list[tuple[int, np.ndarray, list]] = []
+    """From runs in order of their anchors: the stretches of all their documents."""
+    held: list[pa.RecordBatch] = []
     size = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        size += sum(map(len, batch.column("hashes").to_pylist())) // 8
+        if size >= AT_ONCE:
+            table = pa.Table.from_batches(held)
+            anchor = table.column("anchor").to_numpy()
+            # the last anchor may go on
+            cut = int(np.nonzero(anchor != anchor[-1])[0][-1]) + 1 if anchor[0] != anchor[-1] else 0
+            if cut:
+                yield looked_up(table.slice(0, cut))
+                held, size = table.slice(cut).to_batches(), 0
+    if held:
+        yield looked_up(pa.Table.from_batches(held))
 
-    def flush() -> pa.RecordBatch:
-        members = [(i, m["doc_id"], m["tag"], m["place"]) for i, (_, _, found) in enumerate(held) for m in found]
-        owner, doc, tag, place = (np.array(x, dtype=np.int64) for x in zip(*members, strict=True))
-        rows = looked_up([h for _, h, _ in held], np.array([a for a, _, _ in held]), owner, doc, tag, place)
-        held.clear()
-        return rows
 
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for every block of every run, with its earliest document and place there."""
     for batch in batches:
-        lists = batch.column("hashes")
-        ends = np.cumsum(pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False))
-        hashes = np.split(lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), ends[:-1])
-        rows = zip(batch.column("anchor").to_pylist(), hashes, batch.column("members").to_pylist(), strict=True)
-        for anchor, h, members in rows:
-            if size >= AT_ONCE and held[-1][0] != anchor:
-                yield flush()
-                size = 0
-            held.append((anchor, h, members))
-            size += len(h) * len(members)
-    if held:
-        yield flush()
+        hashes, sizes = _flat(batch, "hashes", np.int64)
+        members = Members(batch)
+        run = np.repeat(np.arange(len(sizes)), sizes)
+        step = np.arange(len(run)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        head = (np.cumsum(members.n) - members.n)[run]
+        kept = [batch.column(c).take(pa.array(run)) for c in ("docs", "tags", "counts", "places")]
+        anchor = batch.column("anchor").take(pa.array(run))
+        own = [pa.array(members.doc[head]), pa.array(members.places[members.base[head]] + step)]
+        columns = [anchor, pa.array(hashes), pa.array(step.astype(np.int32)), *kept, *own]
+        yield pa.RecordBatch.from_arrays(
+            columns, ["anchor", "h", "step", "docs", "tags", "counts", "places", "doc", "place"]
+        )
 
 
-def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Stretches from single blocks, in order of document and place."""
+def _told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stretches of one block, from blocks with their references."""
     for batch in batches:
-        yield stretches(*(anchors.column(batch, c) for c in ("doc_id", "tag", "place", "reference", "at")))
+        members = Members(batch)
+        step, reference, at = (anchors.column(batch, c)[members.owner] for c in ("step", "reference", "at"))
+        later = np.nonzero(members.doc > reference)[0]
+        yield members.stretches(later, step[later], np.ones(len(later)), reference[later], at[later])
 
 
 def parse(found: list[tuple[int, int, int, int]], window: int = WINDOW) -> list[tuple[int, int, int, int]]:
@@ -144,47 +189,41 @@ def parsed(
             runs = anchors.marked(anchors.runs(symbols, counts, window, min(BLOCK, window)), batch)
             whole = anchors.rolling(others, window).view(np.int64)
             doc, tag = batch.column("doc_id").to_pylist(), batch.column("tag").to_pylist()
-            found: dict[tuple[int, bytes], list] = {}
+            found: dict[tuple[int, bytes], dict[tuple[int, int], list[int]]] = {}
             start = runs.base[runs.text] + runs.low
             columns = (runs.text, runs.low, runs.block.view(np.int64), start, start + runs.high - runs.low + 1)
             for t, low, block, a, b in zip(*(x.tolist() for x in columns), strict=True):
-                member = {"doc_id": doc[t], "tag": tag[t], "place": low}
-                found.setdefault((block, whole[a:b].tobytes()), []).append(member)
-            hashes = [np.frombuffer(h, dtype=np.int64) for _, h in found]
-            offsets = np.cumsum([0, *map(len, hashes)], dtype=np.int32)
-            flat = np.concatenate(hashes) if hashes else np.zeros(0, np.int64)
-            member_type = pa.struct([("doc_id", pa.int64()), ("tag", pa.int64()), ("place", pa.int32())])
+                found.setdefault((block, whole[a:b].tobytes()), {}).setdefault((doc[t], tag[t]), []).append(low)
+            members = [sorted((k, sorted(x)) for k, x in m.items()) for m in found.values()]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([block for block, _ in found], pa.int64()),
-                    pa.ListArray.from_arrays(offsets, flat),
-                    pa.array(list(found.values()), pa.list_(member_type)),
+                    pa.array([h for _, h in found], pa.binary()),
+                    _packed([[k[0] for k, _ in m] for m in members], np.int64),
+                    _packed([[k[1] for k, _ in m] for m in members], np.int64),
+                    _packed([[len(x) for _, x in m] for m in members], np.int32),
+                    _packed([[i for _, x in m for i in x] for m in members], np.int32),
                 ],
-                ["anchor", "hashes", "members"],
+                ["anchor", "hashes", "docs", "tags", "counts", "places"],
             )
 
+    def runs_of(dealt: DataFrame, some: DataFrame) -> DataFrame:
+        return dealt.join(anchors.by_document(some), ["doc_id", "tag"]).mapInArrow(indexed, _RUNS)
+
     def spread_out(dealt: DataFrame, some: DataFrame) -> DataFrame:
-        """Stretches of the runs of crowded anchors: every block has a row of its own."""
-        runs = dealt.join(anchors.by_document(some), ["doc_id", "tag"]).mapInArrow(indexed, _RUNS)
-        rows = runs.select("anchor", F.posexplode("hashes").alias("step", "h"), "members")
-        rows = rows.select("anchor", "h", "step", F.explode("members").alias("m")).select(
-            "anchor", "h", "m.doc_id", "m.tag", (F.col("m.place") + F.col("step")).alias("place")
-        )
-        rows = staged(rows, "lz-blocks")
-        least = rows.groupBy("anchor", "h").agg(F.min(F.struct("doc_id", "place")).alias("least"))
-        known = rows.join(least, ["anchor", "h"]).where("least.doc_id < doc_id")
-        known = known.select(
-            "doc_id", "tag", "place", F.col("least.doc_id").alias("reference"), F.col("least.place").alias("at")
-        )
-        dealt_out = known.repartition("doc_id", "tag").sortWithinPartitions("doc_id", "tag", "place")
-        return dealt_out.mapInArrow(_joined, _STRETCHES)
+        """Stretches of the runs of crowded anchors: every block of a run has a row of its own."""
+        rows = staged(runs_of(dealt, some).mapInArrow(_blocks, _BLOCKS), "lz-blocks")
+        least = rows.groupBy("anchor", "h").agg(F.min(F.struct("doc", "place")).alias("least"))
+        least = staged(least.select("anchor", "h", "least.doc", "least.place"), "lz-least")
+        least = least.select("anchor", "h", F.col("doc").alias("reference"), F.col("place").alias("at"))
+        return rows.join(least, ["anchor", "h"]).drop("doc", "place").mapInArrow(_told, _STRETCHES)
 
     def rewritten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slabs(batches, "text"):
             total, removed, kept, factors = [], [], [], []
             for x, found in zip(texts(batch), batch.column("found").to_pylist(), strict=True):
                 words = np.array(x.split(), dtype=object)
-                parts = parse([(s["place"], s["n"], s["reference"], s["at"]) for s in found or []], window)
+                parts = parse([(p, s["n"], s["reference"], s["at"]) for s in found or [] for p in s["places"]], window)
                 keep = np.ones(len(words), dtype=bool)
                 for first, n, _, _ in parts:
                     keep[first : first + n] = False
@@ -214,15 +253,12 @@ def parsed(
         few = said.join(bounded_broadcast(crowded), "key", "left_anti")
         spread = [staged(spread_out(dealt, said.join(bounded_broadcast(crowded), "key", "left_semi")), "lz-spread")]
 
-    def runs_of(some: DataFrame) -> DataFrame:
-        return dealt.join(anchors.by_document(some), ["doc_id", "tag"]).mapInArrow(indexed, _RUNS)
-
     # in one plan with the last join, which deals the documents out alike, so that their texts are shuffled once
-    found = runs_of(few).repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_lookup, _STRETCHES)
+    found = runs_of(dealt, few).repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_lookup, _STRETCHES)
     for more in spread:
         found = found.unionByName(more)
-    found = found.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("place", "n", "reference", "at")).alias("found"))
-    none = F.lit(None).cast("array<struct<place:int,n:int,reference:bigint,at:int>>")
+    found = found.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("places", "n", "reference", "at")).alias("found"))
+    none = F.lit(None).cast("array<struct<places:array<int>,n:int,reference:bigint,at:int>>")
     nameless = source.where("doc_id is null").withColumn("found", none)
     schema = (
         "doc_id long, n_words long, n_removed long, kept string, "
