@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import json
 import tempfile
 import uuid
@@ -16,6 +15,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that a Python worker turns into numpy arrays at once; larger documents form a slab of their own.
 SLAB_BYTES = 2_000_000
+#: Spark's setting by which an execution drops its shuffle files at its end.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,10 +38,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def staged(df: DataFrame, tag: str) -> DataFrame:
-    """Write df as a Parquet table in the shared folder and read it back; cuts lineage and survives lost executors."""
+    """Write df as a Parquet table in the shared folder and read it back; cuts lineage and survives lost executors.
+
+    The shuffle files of the write, which nothing reads once the table stands, are dropped at its end.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_path = path
     return out
@@ -59,12 +68,6 @@ def bounded_broadcast(df: DataFrame, rows: int = 500_000) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
-def release(spark: SparkSession) -> None:
-    """Have the driver drop what is no longer referred to, so that Spark frees the shuffle files of past steps."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_broadcast, release, slabs, staged
+from .common import bounded_broadcast, slabs, staged
 from .components import components
 from .simhash import covering_masks, fingerprints, xxh64
 
@@ -206,7 +206,6 @@ def _candidates(source: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFr
     met = heads.join(staged(shared.select("h"), "near-shared"), "h").distinct()
     about = nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "n", "bits")
     met = staged(met.join(about, "node"), "near-met")
-    release(source.sparkSession)
     a, b = met.alias("a"), met.alias("b")
     sizes = (4 * F.col("a.n") <= 5 * F.col("b.n")) & (4 * F.col("b.n") <= 5 * F.col("a.n"))
     apart = (F.col("a.node") < F.col("b.node")) & (F.col("a.root") != F.col("b.root"))
@@ -249,9 +248,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     met = met.join(nodes.alias("b"), F.col("p.b") == F.col("b.node")).where(allowed("a", "b")).select("p.a", "p.b")
     first = staged(_confirmed(staged(met, "near-likely"), source, nodes), "near-first")
     roots = staged(components(first), "near-roots")
-    release(docs.sparkSession)
     pairs = staged(_candidates(source, nodes, roots), "near-pairs")
-    release(docs.sparkSession)
     second = staged(_confirmed(pairs, source, nodes), "near-second")
     roots = components(first.union(second))
     placed = nodes.join(staged(roots, "near-joined"), "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -22,11 +22,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import anchors
-from .common import bounded_broadcast, release, slabs, staged, texts
+from .common import bounded_broadcast, slabs, staged, texts
 
 #: Words of a window, and of the block at its anchor.
 WINDOW, BLOCK = 13, 5
@@ -37,7 +37,15 @@ AT_ONCE, GROUP = 500_000, 32_768
 _RUNS = "anchor long, hashes binary, docs binary, tags binary, counts binary, places binary"
 #: n neighbouring blocks of a document, from each of `places` on, that stand in a reference from `at` on.
 _STRETCHES = "doc_id long, tag long, places array<int>, n int, reference long, at int"
-_BLOCKS = "anchor long, h long, step int, docs binary, tags binary, counts binary, places binary, doc long, place long"
+#: Either a stretch or, of a crowded anchor, a block with the documents of its run and the earliest of them.
+_MIXED = (
+    "anchor long, h long, step int, docs binary, tags binary, counts binary, places binary, doc long, place long, "
+    "stretch struct<doc_id: bigint, tag: bigint, places: array<int>, n: int, reference: bigint, at: int>"
+)
+_BLOCK_KINDS = {"anchor": pa.int64(), "h": pa.int64(), "step": pa.int32(), "docs": pa.binary(), "tags": pa.binary()}
+_BLOCK_KINDS |= {"counts": pa.binary(), "places": pa.binary(), "doc": pa.int64(), "place": pa.int64()}
+_STRETCH_KINDS = {"doc_id": pa.int64(), "tag": pa.int64(), "places": pa.list_(pa.int32()), "n": pa.int32()}
+_STRETCH_KINDS |= {"reference": pa.int64(), "at": pa.int32()}
 
 
 def _flat(table: pa.RecordBatch | pa.Table, name: str, kind: type) -> tuple[np.ndarray, np.ndarray]:
@@ -109,10 +117,21 @@ def looked_up(table: pa.Table) -> pa.RecordBatch:
 
 
 def _lookup(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From runs in order of their anchors: the stretches of all their documents."""
+    """From runs in order of their anchors: the stretches of all their documents, and the blocks of crowded anchors."""
     held: list[pa.RecordBatch] = []
     size = 0
+
+    def answered(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        rows = looked_up(table)
+        stretch = pa.StructArray.from_arrays(rows.columns, names=[*_STRETCH_KINDS])
+        none = [pa.nulls(len(stretch), kind) for kind in _BLOCK_KINDS.values()]
+        yield pa.RecordBatch.from_arrays([*none, stretch], [*_BLOCK_KINDS, "stretch"])
+
     for batch in batches:
+        crowded = batch.column("crowded")
+        if pa.compute.any(crowded).as_py():
+            yield blocks(batch.filter(crowded))
+            batch = batch.filter(pa.compute.invert(crowded))
         if not batch.num_rows:
             continue
         held.append(batch)
@@ -123,36 +142,40 @@ def _lookup(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             # the last anchor may go on
             cut = int(np.nonzero(anchor != anchor[-1])[0][-1]) + 1 if anchor[0] != anchor[-1] else 0
             if cut:
-                yield looked_up(table.slice(0, cut))
+                yield from answered(table.slice(0, cut))
                 held, size = table.slice(cut).to_batches(), 0
     if held:
-        yield looked_up(pa.Table.from_batches(held))
+        yield from answered(pa.Table.from_batches(held))
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def blocks(batch: pa.RecordBatch) -> pa.RecordBatch:
     """A row for every block of every run, with its earliest document and place there."""
-    for batch in batches:
-        hashes, sizes = _flat(batch, "hashes", np.int64)
-        members = Members(batch)
-        run = np.repeat(np.arange(len(sizes)), sizes)
-        step = np.arange(len(run)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        head = (np.cumsum(members.n) - members.n)[run]
-        kept = [batch.column(c).take(pa.array(run)) for c in ("docs", "tags", "counts", "places")]
-        anchor = batch.column("anchor").take(pa.array(run))
-        own = [pa.array(members.doc[head]), pa.array(members.places[members.base[head]] + step)]
-        columns = [anchor, pa.array(hashes), pa.array(step.astype(np.int32)), *kept, *own]
-        yield pa.RecordBatch.from_arrays(
-            columns, ["anchor", "h", "step", "docs", "tags", "counts", "places", "doc", "place"]
-        )
+    hashes, sizes = _flat(batch, "hashes", np.int64)
+    members = Members(batch)
+    run = np.repeat(np.arange(len(sizes)), sizes)
+    step = np.arange(len(run)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    head = (np.cumsum(members.n) - members.n)[run]
+    anchor, *kept = (batch.column(c).take(pa.array(run)) for c in ("anchor", "docs", "tags", "counts", "places"))
+    own = [pa.array(members.doc[head]), pa.array(members.places[members.base[head]] + step)]
+    columns = [anchor, pa.array(hashes), pa.array(step.astype(np.int32)), *kept, *own]
+    return pa.RecordBatch.from_arrays(
+        [*columns, pa.nulls(len(run), pa.struct([*_STRETCH_KINDS.items()]))], [*_BLOCK_KINDS, "stretch"]
+    )
 
 
 def _told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Stretches of one block, from blocks with their references."""
+    """All stretches: those known, and those of one block from blocks with their references."""
     for batch in batches:
-        members = Members(batch)
-        step, reference, at = (anchors.column(batch, c)[members.owner] for c in ("step", "reference", "at"))
-        later = np.nonzero(members.doc > reference)[0]
-        yield members.stretches(later, step[later], np.ones(len(later)), reference[later], at[later])
+        is_block = batch.column("stretch").is_null()
+        known = batch.filter(pa.compute.invert(is_block)).column("stretch")
+        if len(known):
+            yield pa.RecordBatch.from_arrays(known.flatten(), [*_STRETCH_KINDS])
+        batch = batch.filter(is_block)
+        if batch.num_rows:
+            members = Members(batch)
+            step, reference, at = (anchors.column(batch, c)[members.owner] for c in ("step", "reference", "at"))
+            later = np.nonzero(members.doc > reference)[0]
+            yield members.stretches(later, step[later], np.ones(len(later)), reference[later], at[later])
 
 
 def parse(found: list[tuple[int, int, int, int]], window: int = WINDOW) -> list[tuple[int, int, int, int]]:
@@ -207,17 +230,6 @@ def parsed(
                 ["anchor", "hashes", "docs", "tags", "counts", "places"],
             )
 
-    def runs_of(dealt: DataFrame, some: DataFrame) -> DataFrame:
-        return dealt.join(anchors.by_document(some), ["doc_id", "tag"]).mapInArrow(indexed, _RUNS)
-
-    def spread_out(dealt: DataFrame, some: DataFrame) -> DataFrame:
-        """Stretches of the runs of crowded anchors: every block of a run has a row of its own."""
-        rows = staged(runs_of(dealt, some).mapInArrow(_blocks, _BLOCKS), "lz-blocks")
-        least = rows.groupBy("anchor", "h").agg(F.min(F.struct("doc", "place")).alias("least"))
-        least = staged(least.select("anchor", "h", "least.doc", "least.place"), "lz-least")
-        least = least.select("anchor", "h", F.col("doc").alias("reference"), F.col("place").alias("at"))
-        return rows.join(least, ["anchor", "h"]).drop("doc", "place").mapInArrow(_told, _STRETCHES)
-
     def rewritten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slabs(batches, "text"):
             total, removed, kept, factors = [], [], [], []
@@ -246,17 +258,19 @@ def parsed(
     source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     dealt = anchors.tagged(source.where("doc_id is not null"))
     said = staged(anchors.found_again(dealt.mapInArrow(sampled, anchors.ASKED), True), "lz-said")
-    release(docs.sparkSession)
     crowded = staged(said.groupBy("key").count().where(F.col("count") > group).select("key"), "lz-crowded")
-    few, spread = said, []
-    if crowded.count():
-        few = said.join(bounded_broadcast(crowded), "key", "left_anti")
-        spread = [staged(spread_out(dealt, said.join(bounded_broadcast(crowded), "key", "left_semi")), "lz-spread")]
-
+    crowded = crowded.select(F.col("key").alias("anchor"), F.lit(True).alias("crowded"))
     # in one plan with the last join, which deals the documents out alike, so that their texts are shuffled once
-    found = runs_of(dealt, few).repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_lookup, _STRETCHES)
-    for more in spread:
-        found = found.unionByName(more)
+    runs = dealt.join(anchors.by_document(said), ["doc_id", "tag"]).mapInArrow(indexed, _RUNS)
+    runs = runs.join(bounded_broadcast(crowded), "anchor", "left").withColumn("crowded", F.col("crowded").isNotNull())
+    salt = F.when(F.col("crowded"), F.xxhash64("docs", "places"))
+    rows = runs.repartition("anchor", salt).sortWithinPartitions("anchor").mapInArrow(_lookup, _MIXED)
+    # a stretch that is known has a group of its own
+    alone = F.when(F.col("h").isNull(), F.struct("stretch.doc_id", F.col("stretch.places")[0]))
+    least = F.min(F.struct("doc", "place")).over(Window.partitionBy("anchor", "h", alone))
+    rows = rows.withColumn("least", least).drop("anchor", "h", "doc", "place")
+    rows = rows.select("*", F.col("least.doc").alias("reference"), F.col("least.place").alias("at")).drop("least")
+    found = rows.mapInArrow(_told, _STRETCHES)
     found = found.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("places", "n", "reference", "at")).alias("found"))
     none = F.lit(None).cast("array<struct<places:array<int>,n:int,reference:bigint,at:int>>")
     nameless = source.where("doc_id is null").withColumn("found", none)

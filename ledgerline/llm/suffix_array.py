@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import anchors
-from .common import bounded_broadcast, discard, release, slabs, staged, texts
+from .common import bounded_broadcast, discard, slabs, staged, texts
 
 WINDOW, BLOCK = 400, 101
 #: Bytes of contexts that are sorted at once, and distinct contexts of a block that are sorted in one place.
@@ -289,13 +289,11 @@ def cleaned(
     dealt = anchors.tagged(source.where("doc_id is not null"))
     said = anchors.found_again(dealt.mapInArrow(sampled, anchors.ASKED), False)
     marks = staged(anchors.by_document(said), "sa-marks")
-    release(spark)
     schema = (
         "block long, name binary, n long, context binary, places array<struct<doc_id: bigint, tag: bigint, low: int>>"
     )
     held = staged(dealt.join(marks, ["doc_id", "tag"]).mapInArrow(contexts, schema), "sa-contexts")
     discard(marks)
-    release(spark)
     crowded = (
         held.select("block", "name").distinct().groupBy("block").count().where(F.col("count") > group).select("block")
     )
@@ -313,7 +311,6 @@ def cleaned(
     one = F.transform(F.array_sort(F.collect_set("place")), lambda x: F.array(x, x))
     others = counted.join(often, "key", "left_semi").groupBy("name").agg(one.alias("spans"))
     spans = staged(spans.unionByName(others), "sa-spans")
-    release(spark)
     ranges = (
         held.select("name", "places")
         .join(spans, "name")
