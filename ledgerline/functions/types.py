@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 from pyspark.sql import types as T
 
@@ -141,22 +142,29 @@ def source_type(field: T.StructField) -> str:
     return names.get(type(kind), "VARCHAR")
 
 
-def columns_of(schema: T.StructType) -> list[Column]:
-    """Columns as discovery reports them."""
+# Metadata keys under which Spark keeps a declared length and a default.
+DECLARED_TYPE, DEFAULT = "__CHAR_VARCHAR_TYPE_STRING", "CURRENT_DEFAULT"
+
+
+def columns_of(schema: T.StructType, required: Iterable[str] = ()) -> list[Column]:
+    """Columns as discovery reports them, with declared lengths and defaults; required: columns of NOT NULL rules."""
+    required = {c.lower() for c in required}
     out = []
     for i, f in enumerate(schema.fields, 1):
-        kind = f.dataType
+        kind, more = f.dataType, f.metadata
+        declared = re.fullmatch(r"(varchar|char)\((\d+)\)", more.get(DECLARED_TYPE, ""))
         out.append(
             Column(
                 name=f.name.lower(),
-                data_type=source_type(f),
-                is_nullable=f.nullable,
-                default_value=f.metadata.get("default"),
-                character_maximum_length=f.metadata.get("char_len") or getattr(kind, "length", None),
+                data_type=declared[1].upper() if declared and "source_type" not in more else source_type(f),
+                is_nullable=f.nullable and f.name.lower() not in required,
+                default_value=more.get("default", more.get(DEFAULT)),
+                character_maximum_length=more.get("char_len")
+                or (int(declared[2]) if declared else getattr(kind, "length", None)),
                 numeric_precision=getattr(kind, "precision", None),
                 numeric_scale=getattr(kind, "scale", None),
                 ordinal_position=i,
-                comment=f.metadata.get("comment"),
+                comment=more.get("comment"),
             )
         )
     return out

@@ -63,7 +63,7 @@ def table(spark: SparkSession, schema: str, name: str, count: bool = True) -> Ta
     return Table(
         name.lower(),
         schema,
-        columns_of(df.schema),
+        columns_of(df.schema, required_columns(spark, schema, name)),
         keys[0] if keys else None,
         of(ConstraintType.FOREIGN_KEY),
         of(ConstraintType.UNIQUE),
