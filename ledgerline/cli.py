@@ -50,6 +50,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--target", help="target schema")
     p.add_argument("--table", action="append", help="only this table; may be repeated")
     p.add_argument("--batch-size", type=int, default=10_000, help="rows that JDBC fetches or writes at once")
+    p.add_argument("--batches", type=int, default=1, help="writes in which each table is copied; a checkpoint resumes after the last")
     p.add_argument("--workers", type=int, default=1, help="tables copied at once")
     p.add_argument("--checkpoint", help="file that remembers finished tables")
     p.add_argument("--where", help="condition on the rows of every table")
@@ -118,22 +119,30 @@ class Command:
             report.write_statements(statements, output)
             return True
         result = ddl.execute_ddl(self.spark, statements, not self.o.continue_on_error, self.o.dry_run)
-        print(f"{result.statements_executed} statements run, {result.statements_failed} failed")
-        for e in [*result.errors, *result.warnings]:
-            print(f"  {e}")
-        return result.success
+        print(f"{result.ran} statements run, {len(result.failures)} failed")
+        for statement, error in result.failures:
+            print(f"  {statement}: {error}")
+        if result.taken_back:
+            print(f"  dropped again: {', '.join(result.taken_back)}")
+        return result.ok
 
     def build_views(self, output: str | None = None) -> bool:
         target = self.required("target")
         views = catalog.views(self.spark, self.o.schema)
         wanted = {t.lower() for t in self.o.table or ()}
         found = [dialect.translate_view(v.name, v.ddl, target) for v in views if not wanted or v.name in wanted]
+        stubs = [dialect.procedure_stub(p.name, p.ddl, target) for p in catalog.procedures(self.spark, self.o.schema)]
+        stubs = [x for x in stubs if x and not wanted]
         if output := output or self.o.output:
             report.write_statements([v.ddl for v in found if v.ddl], output)
+            if stubs:
+                Path(f"{output}.procedures.sql").write_text("\n".join(stubs))
             return True
         if self.o.dry_run:
-            print("\n".join(v.ddl or f"-- {v.name}: {v.reason}" for v in found))
+            print("\n".join([*(v.ddl or f"-- {v.name}: {v.reason}" for v in found), *stubs]))
             return True
+        if stubs:
+            print("\n".join(stubs))
         made, errors = dialect.build_views(self.spark, found, target)
         print(f"{len(made)} views made, {len(errors)} failed")
         for name, error in errors.items():
@@ -154,7 +163,7 @@ class Command:
             if input(f"type {target} to drop it with all its tables: ").strip() != target:
                 print("nothing was dropped")
                 return False
-        return ddl.execute_ddl(self.spark, [statement]).success
+        return ddl.execute_ddl(self.spark, [statement]).ok
 
     def transfer(self) -> bool:
         target = self.required("target")
@@ -169,16 +178,14 @@ class Command:
             self.o.limit,
             self.o.workers,
             state,
-            # a table that a checkpoint calls unfinished is copied anew as a whole
-            "overwrite" if state else "append",
+            "append",
             self.o.dry_run,
             self.o.continue_on_error,
+            lambda line: print(f"  {line}", flush=True),
+            self.o.batches,
         )
-        for s in stats:
-            say = f"{s.rows_transferred} rows, {s.rows_per_second:.0f} a second" if s.success else s.error_message
-            print(f"  {s.table_name}: {say}")
-        print(f"{sum(s.success for s in stats)} of {len(stats)} tables, {sum(s.rows_transferred for s in stats)} rows")
-        return all(s.success for s in stats)
+        print(f"{sum(s.ok for s in stats)} of {len(stats)} tables, {sum(s.rows for s in stats)} rows")
+        return all(s.ok for s in stats)
 
     def migrate(self) -> bool:
         output = self.o.output
@@ -199,8 +206,7 @@ class Command:
             source = self.spark.table(ddl.quoted(self.o.schema, name))
             other = ddl.quoted(target.lower(), name)
             if not self.spark.catalog.tableExists(other):
-                check = checks.CheckResult("schema_check", False, message="the target has no such table")
-                found.append(checks.TableValidation(name, [check]))
+                found.append(checks.TableReport(name).add("schema_check", False, "the target has no such table"))
                 continue
             keys = catalog.primary_key(self.spark, self.o.schema, name)
             found.append(checks.reconcile(source, self.spark.table(other), name, keys, self.o.sample_size))
@@ -209,7 +215,7 @@ class Command:
             print("[" + ",\n".join(rows) + "]")
         else:
             print(report.validation_text(found))
-        return all(v.passed for v in found)
+        return all(v.ok for v in found)
 
 
 def main(arguments: list[str] | None = None, spark: SparkSession | None = None) -> int:

@@ -1,8 +1,9 @@
 """Reconciliation of a source and a target table in five layers, each a lazy DataFrame query.
 
 1 row counts, 2 rows per date, 3 null counts and least and greatest values, 4 sums of numbers per date, 5 a sample of
-rows by key.  Layers 1 and 3 share one scan of each side.  Dates join null-safely in full, so that dates on one side
-only, and null dates, are seen; differences are counted in full, only the details of a report are cut.
+rows by key.  `reconcile` runs one aggregate of each side for layers 1 and 3, one grouped aggregate of each side for
+layers 2 and 4, and one join for layer 5.  Dates join null-safely in full, so that dates on one side only, and null
+dates, are seen; differences are counted in full, only the details of a report are cut.
 """
 
 from __future__ import annotations
@@ -10,18 +11,17 @@ from __future__ import annotations
 import time
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import types as kinds
 from ..functions.values import comparable
-from ..plans.model import CheckResult, TableValidation
+from ..plans.model import TableReport
 
-#: Decimal digits that sums keep, so that they don't depend on the order of addition.
+#: Decimal digits that sums of doubles and floats keep, so that they don't depend on the order of addition; a decimal
+#: column keeps its own.
 SCALE = 2
-#: Numeric columns whose sums layer 4 compares by default.
-SUMMED = 10
 #: Details in a report.
 DATE_DETAILS, SUM_DETAILS, ROW_DETAILS = 25, 30, 20
 
@@ -100,34 +100,54 @@ def min_max(source: DataFrame, target: DataFrame, columns: Sequence[str]) -> Dat
     return _long(ends(source, "s").crossJoin(ends(target, "t")), columns, values)
 
 
+def sum_scale(df: DataFrame, column: str, scale: int = SCALE) -> int:
+    """Digits that the sum of a column keeps: its own, or `scale` for doubles and floats."""
+    kind = df.schema[column].dataType
+    return kind.scale if isinstance(kind, T.DecimalType) else 0 if isinstance(kind, T.IntegralType) else scale
+
+
+def exact_sum(df: DataFrame, column: str, scale: int = SCALE) -> Column:
+    scale = sum_scale(df, column, scale)
+    return F.sum(F.col(q(column)).cast(f"decimal(28,{scale})" if scale <= 10 else f"decimal(38,{scale})")).cast(
+        f"decimal(38,{scale})"
+    )
+
+
 def sums_by_date(df: DataFrame, date: str, columns: Sequence[str], scale: int = SCALE) -> DataFrame:
-    """d and one exact sum per column."""
-    exact = f"decimal(38,{scale})"
-    sums = [F.sum(F.col(q(c)).cast(f"decimal(28,{scale})")).cast(exact).alias(c) for c in columns]
-    return df.groupBy(F.col(q(date)).cast("date").alias("d")).agg(*sums)
+    """d, n and one exact sum per column."""
+    sums = [exact_sum(df, c, scale).alias(c) for c in columns]
+    return df.groupBy(F.col(q(date)).cast("date").alias("d")).agg(F.count(F.lit(1)).alias("#n"), *sums)
+
+
+def by_date(source: DataFrame, target: DataFrame, date: str, columns: Sequence[str], scale: int = SCALE) -> DataFrame:
+    """d, src and tgt (counts), sums: those that differ, as structs of col, src, tgt; one row per date."""
+    a, b = (sums_by_date(df, date, columns, scale).alias(n) for df, n in ((source, "a"), (target, "b")))
+    # sums of several scales are shown as text
+    widest = "string" if len({sum_scale(df, c, scale) for df in (source, target) for c in columns}) > 1 else None
+    sums = []
+    for c in columns:
+        x, y = F.col(f"a.{q(c)}"), F.col(f"b.{q(c)}")
+        shown = [v.cast(widest) if widest else v for v in (x, y)]
+        sums.append(
+            F.when(
+                ~x.eqNullSafe(y), F.struct(F.lit(c).alias("col"), shown[0].alias("src"), shown[1].alias("tgt"))
+            )
+        )
+    differing = F.array_compact(F.array(*sums)) if sums else F.lit(None).cast("array<struct<col:string>>")
+    return a.join(b, F.col("a.d").eqNullSafe(F.col("b.d")), "full_outer").select(
+        F.coalesce("a.d", "b.d").alias("d"),
+        F.coalesce("a.`#n`", F.lit(0)).alias("src"),
+        F.coalesce("b.`#n`", F.lit(0)).alias("tgt"),
+        differing.alias("sums"),
+    )
 
 
 def aggregate_fingerprint(
     source: DataFrame, target: DataFrame, date: str, columns: Sequence[str], scale: int = SCALE
 ) -> DataFrame:
     """Sums that differ: d, col, src, tgt.  A date that is missing counts as null, like a date of nulls."""
-
-    def tall(df: DataFrame) -> DataFrame:
-        sums = sums_by_date(df, date, columns, scale)
-        return sums.unpivot("d", [q(c) for c in columns], "col", "total")
-
-    a, b = tall(source).alias("a"), tall(target).alias("b")
-    same = F.col("a.d").eqNullSafe(F.col("b.d")) & (F.col("a.col") == F.col("b.col"))
-    return (
-        a.join(b, same, "full_outer")
-        .where(~F.col("a.total").eqNullSafe(F.col("b.total")))
-        .select(
-            F.coalesce("a.d", "b.d").alias("d"),
-            F.coalesce("a.col", "b.col").alias("col"),
-            F.col("a.total").alias("src"),
-            F.col("b.total").alias("tgt"),
-        )
-    )
+    found = by_date(source, target, date, columns, scale)
+    return found.select("d", F.explode("sums").alias("s")).select("d", "s.*")
 
 
 def sampled(source: DataFrame, keys: Sequence[str], size: int, seed: int | None = None) -> DataFrame:
@@ -206,83 +226,96 @@ def reconcile(
     table: str,
     keys: Sequence[str] = (),
     sample_size: int = 0,
-    summed: int = SUMMED,
     strict_text: bool = False,
-) -> TableValidation:
-    """All layers that apply to a table, as check results."""
+) -> TableReport:
+    """All layers that apply to a table: every column, every date."""
     began = time.time()
-    out = TableValidation(table)
+    out = TableReport(table)
     by_name = {c.lower(): c for c in target.columns}
     columns = [c for c in kinds.columns_of(source.schema) if c.name in by_name]
     source = source.toDF(*[c.lower() for c in source.columns])
     target = target.toDF(*[c.lower() for c in target.columns])
     if not columns:
-        out.checks.append(CheckResult("schema_check", False, message="no columns in common"))
-        out.duration = time.time() - began
-        return out
+        return out.add("schema_check", False, "no columns in common").close(began)
     names = [c.name for c in columns]
     flat = [n for n in names if not isinstance(source.schema[n].dataType, (T.ArrayType, T.MapType, T.StructType))]
     date = kinds.detect_date_column(columns)
-    numbers = kinds.numeric_columns(columns)
-    ends = kinds.min_max_columns(columns)
-    counts = row_count(source, target).head()
-    s, t = counts["source_value"], counts["target_value"]
-    out.checks.append(CheckResult("row_count", counts["passed"], str(s), str(t), f"difference {abs(s - t)}"))
+    numbers = kinds.numeric_columns(columns) if date else []
+    _overall(out, source, target, names, kinds.min_max_columns(columns))
     if date:
-        out.checks.append(_dates(partition_counts(source, target, date)))
-    nulls = [r for r in null_counts(source, target, names).collect() if not r["passed"]]
-    out.checks.append(
-        CheckResult(
-            "null_counts",
-            not nulls,
-            message=f"{len(nulls)} of {len(names)} columns differ",
-            details=tuple(f"{r['col']}: {r['src']} and {r['tgt']}" for r in nulls),
-        )
-    )
+        _by_date(out, by_date(source, target, date, numbers), bool(numbers))
+    if sample_size and not keys:
+        out.add("row_sample", None, "skipped: the table has no key")
+    elif sample_size:
+        keys = [k.lower() for k in keys]
+        _rows(out, row_sample(source, target, keys, sample_size, flat, strict_text), keys)
+    return out.close(began)
+
+
+def _overall(out: TableReport, source: DataFrame, target: DataFrame, names: Sequence[str], ends: Sequence[str]) -> None:
+    """Layers 1 and 3 from one row of aggregates of each side."""
+
+    def wide(df: DataFrame, side: str) -> DataFrame:
+        nulls = [F.count_if(F.col(q(c)).isNull()).alias(f"{side}z{i}") for i, c in enumerate(names)]
+        least = [F.min(q(c)).alias(f"{side}n{i}") for i, c in enumerate(ends)]
+        most = [F.max(q(c)).alias(f"{side}x{i}") for i, c in enumerate(ends)]
+        return df.agg(F.count(F.lit(1)).alias(f"{side}c"), *nulls, *least, *most)
+
+    same = [
+        F.col(f"sn{i}").eqNullSafe(F.col(f"tn{i}")) & F.col(f"sx{i}").eqNullSafe(F.col(f"tx{i}"))
+        for i in range(len(ends))
+    ]
+    shown = [F.col(f"{x}{i}").cast("string").alias(f"{x}{i}") for x in ("sn", "sx", "tn", "tx") for i in range(len(ends))]
+    counts = [f"{x}z{i}" for x in "st" for i in range(len(names))]
+    both = wide(source, "s").crossJoin(wide(target, "t"))
+    r = both.select("sc", "tc", *counts, *shown, *(x.alias(f"same{i}") for i, x in enumerate(same))).head()
+    out.add("row_count", r["sc"] == r["tc"], f"{r['sc']} and {r['tc']}, difference {abs(r['sc'] - r['tc'])}")
+    nulls = [f"{c}: {r[f'sz{i}']} and {r[f'tz{i}']}" for i, c in enumerate(names) if r[f"sz{i}"] != r[f"tz{i}"]]
+    out.add("null_counts", not nulls, f"{len(nulls)} of {len(names)} columns differ", nulls)
     if ends:
-        off = [r for r in min_max(source, target, ends).collect() if not r["passed"]]
-        out.checks.append(
-            CheckResult(
-                "min_max_values",
-                not off,
-                message=f"{len(off)} of {len(ends)} columns differ",
-                details=tuple(
-                    f"{r['col']}: {r['src_min']} to {r['src_max']} and {r['tgt_min']} to {r['tgt_max']}" for r in off
-                ),
-            )
-        )
-    if date and numbers:
-        out.checks.append(_sums(aggregate_fingerprint(source, target, date, numbers[:summed])))
-    if sample_size:
-        if keys:
-            keys = [k.lower() for k in keys]
-            found = row_sample(source, target, keys, sample_size, flat, strict_text)
-            out.checks.append(_rows(found, keys))
-        else:
-            out.checks.append(CheckResult("row_sample", None, message="skipped: the table has no key"))
-    out.duration = time.time() - began
-    return out
-
-
-def _dates(diff: DataFrame) -> CheckResult:
-    n = diff.count()
-    rows = diff.orderBy(F.col("d").asc_nulls_first()).limit(DATE_DETAILS).collect() if n else []
-    details = tuple(f"{r['d']}: {r['src']} and {r['tgt']}" for r in rows)
-    return CheckResult("partition_counts", n == 0, message=f"{n} dates differ", details=details)
-
-
-def _sums(diff: DataFrame) -> CheckResult:
-    n = diff.count()
-    rows = diff.orderBy(F.col("d").asc_nulls_first(), "col").limit(SUM_DETAILS).collect() if n else []
-    details = tuple(f"{r['d']} {r['col']}: {r['src']} and {r['tgt']}" for r in rows)
-    return CheckResult("aggregate_fingerprint", n == 0, message=f"{n} sums differ", details=details)
-
-
-def _rows(diff: DataFrame, keys: Sequence[str]) -> CheckResult:
-    kinds_found = {r["kind"]: r["count"] for r in diff.groupBy("kind").count().collect()}
-    rows = diff.orderBy(*[q(k) for k in keys]).limit(ROW_DETAILS).collect() if kinds_found else []
-    details = tuple(
-        ", ".join(f"{k}={r[k]}" for k in keys) + f": {r['kind']} {', '.join(r['differing'])}".rstrip() for r in rows
+        off = [
+            f"{c}: {r[f'sn{i}']} to {r[f'sx{i}']} and {r[f'tn{i}']} to {r[f'tx{i}']}"
+            for i, c in enumerate(ends)
+            if not r[f"same{i}"]
+        ]
+        out.add("min_max_values", not off, f"{len(off)} of {len(ends)} columns differ", off)
+
+
+def _first(diff: DataFrame, order: Sequence[Column | str], rows: int, **totals: Column) -> tuple[list, dict[str, int]]:
+    """The first rows of a difference and totals over all of it, from one pass."""
+    seen = Observation()
+    found = diff.observe(seen, *(x.alias(n) for n, x in totals.items())).orderBy(*order).limit(rows).collect()
+    return found, {n: seen.get.get(n) or 0 for n in totals}
+
+
+def _by_date(out: TableReport, dates: DataFrame, summed: bool) -> None:
+    """Layers 2 and 4 from one row per date."""
+    uneven = F.col("src") != F.col("tgt")
+    diff = dates.where(uneven | (F.size("sums") > 0))
+    rows, n = _first(
+        diff,
+        [F.col("d").asc_nulls_first()],
+        DATE_DETAILS + SUM_DETAILS,
+        dates=F.count_if(uneven),
+        sums=F.sum(F.greatest(F.size("sums"), F.lit(0))),
     )
-    message = f"{kinds_found.get('missing', 0)} missing, {kinds_found.get('mismatch', 0)} with other values"
-    return CheckResult("row_sample", not kinds_found, message=message, details=details)
+    counts = [f"{r['d']}: {r['src']} and {r['tgt']}" for r in rows if r["src"] != r["tgt"]]
+    out.add("partition_counts", n["dates"] == 0, f"{n['dates']} dates differ", counts[:DATE_DETAILS])
+    if summed:
+        sums = [f"{r['d']} {x['col']}: {x['src']} and {x['tgt']}" for r in rows for x in r["sums"]]
+        out.add("aggregate_fingerprint", n["sums"] == 0, f"{n['sums']} sums differ", sums[:SUM_DETAILS])
+
+
+def _rows(out: TableReport, diff: DataFrame, keys: Sequence[str]) -> None:
+    kind = F.col("kind")
+    rows, n = _first(
+        diff,
+        [q(k) for k in keys],
+        ROW_DETAILS,
+        missing=F.count_if(kind == "missing"),
+        mismatch=F.count_if(kind == "mismatch"),
+    )
+    details = [
+        ", ".join(f"{k}={r[k]}" for k in keys) + f": {r['kind']} {', '.join(r['differing'])}".rstrip() for r in rows
+    ]
+    out.add("row_sample", not any(n.values()), f"{n['missing']} missing, {n['mismatch']} with other values", details)

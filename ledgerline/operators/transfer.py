@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.values import as_strings, strip_nul
 from ..plans.ddl import quoted
-from ..plans.model import TransferStats
+from ..plans.model import Copied
 from ..sources import catalog
 from ..sources.checkpoints import Checkpoint
 from ..sources.tables import read_table
@@ -43,6 +43,14 @@ def select_rows(
     return as_strings(df) if text else strip_nul(df)
 
 
+def in_batch(df: DataFrame, keys: Sequence[str], batch: int, batches: int) -> DataFrame:
+    """The rows of one of several batches: by a hash of the key, or of the whole row where there is no key."""
+    if batches == 1:
+        return df
+    columns = [F.col(f"`{c}`") for c in (keys or df.columns)]
+    return df.where(F.pmod(F.xxhash64(*columns), F.lit(batches)) == batch)
+
+
 def transfer_table(
     spark: SparkSession,
     source_schema: str,
@@ -53,26 +61,43 @@ def transfer_table(
     offset: int = 0,
     mode: str = "append",
     dry_run: bool = False,
-) -> TransferStats:
-    """Copy one table; errors are reported, not raised."""
-    began = time.time()
+    batches: int = 1,
+    checkpoint: Checkpoint | None = None,
+) -> Copied:
+    """Copy one table; errors are reported, not raised.
+
+    Rows are appended; what stands in the target stays.  Each batch is one write, which Spark commits as a whole.  The
+    checkpoint remembers how many rows the target had before the transfer and after each batch, so that a batch that
+    was committed just before a failure is not written again.  A limit makes one batch of the table.
+    """
+    began, done, before = time.time(), 0, 0
     try:
         df = read_table(spark, source_schema, table)
         df = df.toDF(*[c.lower() for c in df.columns])
-        order = catalog.primary_key(spark, source_schema, table)
-        rows = select_rows(df, where, limit, offset, order)
+        keys = catalog.primary_key(spark, source_schema, table)
+        rows = select_rows(df, where, limit, offset, keys)
         if dry_run:
-            return TransferStats(table, rows.count(), time.time() - began)
-        name = quoted(target_schema.lower(), table.lower())
-        seen = Observation()
-        rows = rows.observe(seen, F.count(F.lit(1)).alias("n"))
-        if spark.catalog.tableExists(name):
-            rows.select(*[f"`{c}`" for c in spark.table(name).columns]).write.insertInto(name, overwrite=mode == "overwrite")
-        else:
-            rows.write.mode(mode).saveAsTable(name)
-        return TransferStats(table, seen.get["n"], time.time() - began)
+            return Copied(table, rows.count(), time.time() - began)
+        name, batches = quoted(target_schema.lower(), table.lower()), 1 if limit or offset else batches
+        first = 0
+        if checkpoint:
+            there = spark.table(name).count() if spark.catalog.tableExists(name) else 0
+            first, before = checkpoint.begin(table, there, batches)
+        for batch in range(first, batches):
+            seen = Observation()
+            part = in_batch(rows, keys, batch, batches).observe(seen, F.count(F.lit(1)).alias("n"))
+            if spark.catalog.tableExists(name):
+                part.select(*[f"`{c}`" for c in spark.table(name).columns]).write.insertInto(
+                    name, overwrite=mode == "overwrite" and batch == 0
+                )
+            else:
+                part.write.mode(mode).saveAsTable(name)
+            done += seen.get["n"]
+            if checkpoint:
+                checkpoint.update(table, batch + 1, before + done)
+        return Copied(table, done, time.time() - began, before=before)
     except Exception as e:  # noqa: BLE001  one table's failure must not end the others
-        return TransferStats(table, 0, time.time() - began, False, str(e).splitlines()[0])
+        return Copied(table, done, time.time() - began, str(e).splitlines()[0], before)
 
 
 def transfer_schema(
@@ -88,23 +113,31 @@ def transfer_schema(
     dry_run: bool = False,
     continue_on_error: bool = True,
     status: Callable[[str], None] = lambda _: None,
-) -> list[TransferStats]:
-    """Copy the tables of a schema, `workers` at once, in order of name; tables that a checkpoint has done are left out."""
+    batches: int = 1,
+) -> list[Copied]:
+    """Copy the tables of a schema, `workers` at once, in order of name; tables that a checkpoint has done are left out.
+
+    Tables that are copied at once run in scheduler pools of their own, so that under FAIR scheduling none starves.
+    """
     wanted = {t.lower() for t in tables} if tables else None
     names = [t for t in catalog.table_names(spark, source_schema) if wanted is None or t in wanted]
     names = [t for t in names if not (checkpoint and checkpoint.is_completed(t))]
     stopped = False
 
-    def one(name: str) -> TransferStats:
+    def one(name: str) -> Copied:
         nonlocal stopped
         if stopped:
-            return TransferStats(name, 0, 0.0, False, "not begun: another table failed")
+            return Copied(name, 0, 0.0, "not begun: another table failed")
         status(f"copying {name}")
-        stats = transfer_table(spark, source_schema, name, target_schema, where, limit, 0, mode, dry_run)
-        if stats.success and checkpoint and not dry_run:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"copy-{name}" if workers > 1 else None)
+        found = transfer_table(
+            spark, source_schema, name, target_schema, where, limit, 0, mode, dry_run, batches, checkpoint
+        )
+        if found.ok and checkpoint and not dry_run:
             checkpoint.complete(name)
-        stopped = stopped or not (stats.success or continue_on_error)
-        return stats
+        status(f"{name}: {found.rows} rows, {found.rate:.0f} a second" if found.ok else f"{name}: {found.error}")
+        stopped = stopped or not (found.ok or continue_on_error)
+        return found
 
     if workers <= 1:
         return [one(n) for n in names]
@@ -112,8 +145,8 @@ def transfer_schema(
         return list(pool.map(one, names))
 
 
-def stats_frame(spark: SparkSession, stats: Iterable[TransferStats]) -> DataFrame:
-    rows = [(s.table_name, s.rows_transferred, s.transfer_time, s.success, s.error_message) for s in stats]
+def stats_frame(spark: SparkSession, stats: Iterable[Copied]) -> DataFrame:
+    rows = [(s.table, s.rows, s.seconds, s.ok, s.error) for s in stats]
     schema = "table_name string, rows_transferred long, transfer_time double, success boolean, error_message string"
     return spark.createDataFrame(rows, schema)
 

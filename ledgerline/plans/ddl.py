@@ -14,7 +14,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import SparkSession
 
 from ..functions.types import spark_ddl_type
-from .model import Column, Constraint, ExecutionResult, Schema, Table
+from .model import Column, Constraint, DdlRun, Schema, Table
 
 
 def quoted(*parts: str) -> str:
@@ -109,32 +109,29 @@ def execute_ddl(
     stop_on_error: bool = True,
     dry_run: bool = False,
     progress: Callable[[int, int, str], None] | None = None,
-) -> ExecutionResult:
+) -> DdlRun:
     """Run statements in order.  When a run stops on an error, the tables that it made are dropped again."""
     statements = [s for s in statements if s.strip()]
-    began, result, made = time.time(), ExecutionResult(), []
+    began, result, made = time.time(), DdlRun(), []
     for i, statement in enumerate(statements, 1):
         if progress:
             progress(i, len(statements), statement)
         if dry_run:
-            result.statements_executed += 1
+            result.ran += 1
             continue
         try:
             m = _MADE.match(statement)
             new = m and m[1].upper() == "TABLE" and not spark.catalog.tableExists(m[2].replace("`", ""))
             spark.sql(statement)
-            result.statements_executed += 1
+            result.ran += 1
             if new:
                 made.append(m[2])
         except Exception as e:  # noqa: BLE001  reported, whatever it is
-            result.success = False
-            result.statements_failed += 1
-            result.errors.append(f"{statement.splitlines()[0][:120]}: {str(e).splitlines()[0]}")
+            result.failures.append((statement.splitlines()[0][:120], str(e).splitlines()[0]))
             if stop_on_error:
                 for name in reversed(made):
                     spark.sql(f"DROP TABLE IF EXISTS {name}")
-                if made:
-                    result.warnings.append(f"dropped {len(made)} tables that this run had made")
+                    result.taken_back.append(name)
                 break
-    result.execution_time = time.time() - began
+    result.seconds = time.time() - began
     return result

@@ -5,6 +5,8 @@ Targets are derived from the sources by fixed corruptions: rows lost, doubled, c
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +16,10 @@ from . import report
 from .functions import dialect, values
 from .functions import types as kinds
 from .operators import checks, constraints, transfer
-from .plans.ddl import table_order
-from .plans.model import Column, Constraint, ConstraintType, Table
+from .plans.ddl import execute_ddl, schema_ddl, table_order
+from .plans.model import Column, Constraint, ConstraintType, Copied, Table
+from .sources import catalog
+from .sources.checkpoints import Checkpoint
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -266,35 +270,124 @@ def validation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.by_table(spark.createDataFrame(rows, "table_name string, name string, passed boolean"))
 
 
-def _profile(name: str) -> None:
+_KEY = dict(
+    zip(
+        TABLES,
+        "r_regionkey n_nationkey c_custkey s_suppkey p_partkey o_orderkey l_orderkey event_id doc_id vec_id page_id "
+        "item_id doc_id conv_id".split(),
+        strict=True,
+    )
+)
+
+
+def _lost_rows(name: str) -> None:
+    key = _KEY[name]
+
     def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = load(spark, sf_dir, name)
-        return checks.row_count(df, df)
+        return checks.row_count(df, df.where(F.col(key) % 5 != 0))
 
     query(
-        f"SELECT count(*) AS source_value, count(*) AS target_value, true AS passed FROM {name}", f"identity_count_{name}"
+        f"SELECT count(*) AS source_value, count(*) FILTER (WHERE {key} % 5 <> 0) AS target_value, "
+        f"count(*) = count(*) FILTER (WHERE {key} % 5 <> 0) AS passed FROM {name}",
+        f"lost_rows_{name}",
     )(row_counts)
 
 
 for _t in TABLES:
-    _profile(_t)
+    _lost_rows(_t)
+
 
+def _nulled(name: str, columns: list[str]) -> None:
+    """A target whose every other column is null in some rows, each column in others."""
+    key = _KEY[name]
 
-def _nulls(name: str, columns: list[str]) -> None:
     def null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = load(spark, sf_dir, name)
-        return checks.null_counts(df, df, columns)
+        some = [F.when(F.col(key) % (i + 2) != 0, F.col(c)).alias(c) if i % 2 else F.col(c) for i, c in enumerate(columns)]
+        return checks.null_counts(df, df.select(*some), columns)
+
+    def lost(i: int, c: str) -> str:
+        return f"count(*) FILTER (WHERE {c} IS NULL" + (f" OR {key} % {i + 2} = 0)" if i % 2 else ")")
 
     sql = " UNION ALL ".join(
-        f"SELECT '{c}' AS col, count(*) - count({c}) AS src, count(*) - count({c}) AS tgt, true AS passed FROM {name}"
-        for c in columns
+        f"SELECT '{c}' AS col, count(*) - count({c}) AS src, {lost(i, c)} AS tgt, count(*) - count({c}) = {lost(i, c)} AS passed "
+        f"FROM {name}"
+        for i, c in enumerate(columns)
+    )
+    query(sql, f"nulled_columns_{name}")(null_counts)
+
+
+_nulled("customer", ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"])
+_nulled("events", ["event_id", "ts", "user_id", "event_type", "value", "props"])
+_nulled("documents", ["doc_id", "text", "lang", "source", "n_chars"])
+
+
+@query(
+    """SELECT col, src_min, tgt_min, src_max, tgt_max, src_min = tgt_min AND src_max = tgt_max AS passed FROM (
+  SELECT 'o_orderkey' AS col, CAST(min(o_orderkey) AS VARCHAR) AS src_min, CAST(min(o_orderkey) FILTER (WHERE o_orderkey % 3 > 0)
+    AS VARCHAR) AS tgt_min, CAST(max(o_orderkey) AS VARCHAR) AS src_max,
+    CAST(max(o_orderkey) FILTER (WHERE o_orderkey % 3 > 0) AS VARCHAR) AS tgt_max FROM orders
+  UNION ALL SELECT 'o_orderdate', strftime(min(o_orderdate), '%Y-%m-%d %H:%M:%S'),
+    strftime(min(o_orderdate) FILTER (WHERE o_orderkey % 3 > 0), '%Y-%m-%d %H:%M:%S'),
+    strftime(max(o_orderdate), '%Y-%m-%d %H:%M:%S'),
+    strftime(max(o_orderdate) FILTER (WHERE o_orderkey % 3 > 0), '%Y-%m-%d %H:%M:%S') FROM orders)"""
+)
+def check_min_max_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ends themselves, where the target lacks a third of the rows."""
+    orders = load(spark, sf_dir, "orders")
+    return checks.min_max(orders, orders.where("o_orderkey % 3 > 0"), ["o_orderkey", "o_orderdate"])
+
+
+@query(
+    """WITH s AS (SELECT cast(o_orderdate AS date) d, o_orderkey k, CAST(o_totalprice AS DECIMAL(14,4)) v FROM orders),
+a AS (SELECT d, sum(v) x, sum(CASE WHEN k % 101 = 0 THEN v + 0.0010 ELSE v END) y FROM s GROUP BY 1)
+SELECT d, 'v' AS col, CAST(x AS DECIMAL(38,4)) AS src, CAST(y AS DECIMAL(38,4)) AS tgt FROM a WHERE x <> y"""
+)
+def check_sums_of_own_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Differences in the third decimal digit of a column with four."""
+    rows = load(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderdate", F.col("o_totalprice").cast("decimal(14,4)").alias("v")
+    )
+    more = F.when(F.col("o_orderkey") % 101 == 0, F.col("v") + F.lit("0.0010").cast("decimal(5,4)")).otherwise(F.col("v"))
+    return checks.aggregate_fingerprint(rows, rows.withColumn("v", more.cast("decimal(14,4)")), "o_orderdate", ["v"])
+
+
+@query(
+    """SELECT 'wide' AS table_name, name, name NOT IN ('min_max_values', 'aggregate_fingerprint') OR
+  NOT EXISTS (SELECT * FROM orders WHERE o_orderkey % 101 = 0) AS passed
+FROM (VALUES ('row_count'), ('partition_counts'), ('null_counts'), ('min_max_values'), ('aggregate_fingerprint')) AS c(name)"""
+)
+def reconcile_twelve_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fault in the last of twelve numeric columns."""
+    orders = load(spark, sf_dir, "orders").select(
+        "o_orderdate", "o_orderkey", *((F.col("o_totalprice") + i).alias(f"n{i}") for i in range(11))
     )
-    query(sql, f"identity_nulls_{name}")(null_counts)
+    last = F.when(F.col("o_orderkey") % 101 == 0, F.col("n10") * 3).otherwise(F.col("n10"))
+    found = checks.reconcile(orders, orders.withColumn("n10", last), "wide")
+    return report.checks_frame(spark, [found]).select("table_name", "name", "passed")
 
 
-_nulls("customer", ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"])
-_nulls("events", ["event_id", "ts", "user_id", "event_type", "value", "props"])
-_nulls("documents", ["doc_id", "text", "lang", "source", "n_chars"])
+@query(
+    """WITH smp AS (SELECT * FROM conversations ORDER BY conv_id, turn LIMIT 400)
+SELECT conv_id, turn, CASE WHEN (conv_id + turn) % 11 = 0 THEN 'missing' ELSE 'mismatch' END AS kind,
+  CASE WHEN (conv_id + turn) % 11 = 0 THEN '' WHEN conv_id % 7 = 0 AND turn % 2 = 0 THEN 'role,text'
+       WHEN conv_id % 7 = 0 THEN 'role' ELSE 'text' END AS differing
+FROM smp WHERE (conv_id + turn) % 11 = 0 OR conv_id % 7 = 0 OR (turn % 2 = 0 AND conv_id % 5 = 0)"""
+    .replace("conv_id % 7 = 0 AND turn % 2 = 0 THEN", "conv_id % 7 = 0 AND turn % 2 = 0 AND conv_id % 5 = 0 THEN")
+)
+def check_row_sample_two_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A key of two columns, and which of the others differ."""
+    rows = load(spark, sf_dir, "conversations")
+    c, t = F.col("conv_id"), F.col("turn")
+    target = rows.where((c + t) % 11 != 0).withColumns(
+        {
+            "role": F.when(c % 7 == 0, F.lit("nobody")).otherwise(F.col("role")),
+            "text": F.when((t % 2 != 0) | (c % 5 != 0), F.col("text")),
+        }
+    )
+    found = checks.row_sample(rows, target, ["conv_id", "turn"], 400)
+    return found.withColumn("differing", F.array_join("differing", ","))
 
 
 @query("SELECT cast(ts AS date) AS d, count(*) AS n FROM events GROUP BY 1")
@@ -347,12 +440,122 @@ def null_nul_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SELECT 3 AS tables, 2 AS succeeded, 1500 AS rows, CAST(3 AS DOUBLE) AS seconds, CAST(500 AS DOUBLE) AS rows_per_second"
 )
 def transfer_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .plans.model import TransferStats
-
-    stats = [TransferStats("a", 1000, 1.5), TransferStats("b", 500, 0.5), TransferStats("c", 0, 1.0, False, "lost")]
+    stats = [Copied("a", 1000, 1.5), Copied("b", 500, 0.5), Copied("c", 0, 1.0, "lost")]
     return transfer.summarise(transfer.stats_frame(spark, stats))
 
 
+def _scratch(spark: SparkSession, run: Callable[[str], DataFrame]) -> DataFrame:
+    """The few rows of what `run` finds in schemas of its own, which are dropped again."""
+    name = f"scratch_{uuid.uuid4().hex[:12]}"
+    for side in ("src", "tgt"):
+        spark.sql(f"CREATE SCHEMA {name}_{side}")
+    try:
+        found = run(name)
+        return spark.createDataFrame(found.collect(), found.schema)
+    finally:
+        for side in ("src", "tgt"):
+            spark.sql(f"DROP SCHEMA IF EXISTS {name}_{side} CASCADE")
+
+
+_FOUND = "count(*) AS n, count(DISTINCT o_orderkey) AS orders, CAST(sum(o_custkey) AS BIGINT) AS customers"
+
+
+@query(
+    f"SELECT {_FOUND} FROM (SELECT o_orderkey, o_custkey FROM orders WHERE o_totalprice > 1000 "
+    "UNION ALL SELECT -o_orderkey, o_custkey FROM orders WHERE o_orderkey < 100)"
+)
+def transfer_into_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that stood in the target stay."""
+
+    def run(name: str) -> DataFrame:
+        orders = load(spark, sf_dir, "orders")
+        orders.write.saveAsTable(f"{name}_src.orders")
+        old = orders.where("o_orderkey < 100").withColumn("o_orderkey", -F.col("o_orderkey"))
+        old.write.saveAsTable(f"{name}_tgt.orders")
+        found = transfer.transfer_schema(spark, f"{name}_src", f"{name}_tgt", where="o_totalprice > 1000")
+        assert all(x.ok for x in found), found
+        return spark.table(f"{name}_tgt.orders").selectExpr(*_FOUND.split(", "))
+
+    return _scratch(spark, run)
+
+
+@query(f"SELECT {_FOUND} FROM (SELECT o_orderkey, o_custkey FROM orders UNION ALL SELECT -1, 5)")
+def transfer_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A transfer in five batches that was lost after the third was committed and before it was noted."""
+
+    def run(name: str) -> DataFrame:
+        orders = load(spark, sf_dir, "orders")
+        orders.write.saveAsTable(f"{name}_src.orders")
+        target = f"{name}_tgt.orders"
+        orders.limit(1).selectExpr("-1L AS o_orderkey", "5L AS o_custkey", "* EXCEPT (o_orderkey, o_custkey)").write.saveAsTable(target)
+        with tempfile.TemporaryDirectory() as folder:
+            state = Checkpoint(f"{folder}/state", "src", "tgt")
+            state.begin("orders", 1, 5)
+            for batch in range(3):
+                part = transfer.in_batch(orders, [], batch, 5)
+                part.write.insertInto(target)
+                if batch < 2:
+                    state.update("orders", batch + 1, spark.table(target).count() - 1)
+            again = Checkpoint(f"{folder}/state", "src", "tgt")
+            found = transfer.transfer_schema(spark, f"{name}_src", f"{name}_tgt", checkpoint=again, batches=5)
+            assert [x.ok for x in found] == [True], found
+            assert again.is_completed("orders")
+        return spark.table(target).selectExpr(*_FOUND.split(", "))
+
+    return _scratch(spark, run)
+
+
+@query(
+    """SELECT * FROM (VALUES (1, 'a', 'INTEGER', false, NULL, NULL, 'the key'), (2, 'v', 'VARCHAR', true, '''x''', 5, NULL),
+  (3, 'c', 'CHAR', true, NULL, 3, NULL), (4, 'n', 'NUMBER', true, NULL, NULL, NULL), (5, 't', 'VARCHAR', true, NULL, NULL, NULL))
+AS v(place, name, kind, nullable, fallback, length, said)"""
+)
+def discovered_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns as they were declared, after a build from one schema into another."""
+
+    def run(name: str) -> DataFrame:
+        rules = '[{"name": "nn", "type": "NOT NULL", "columns": ["a"]}]'
+        spark.sql(
+            f"CREATE TABLE {name}_src.t (a INT COMMENT 'the key', v VARCHAR(5) DEFAULT 'x', c CHAR(3), n DECIMAL(12,3), t STRING) "
+            f"USING parquet TBLPROPERTIES ('constraints' = '{rules}')"
+        )
+        made = execute_ddl(spark, schema_ddl(catalog.discover(spark, f"{name}_src"), f"{name}_tgt"))
+        assert made.ok, made
+        found = catalog.discover(spark, f"{name}_tgt").tables[0].columns
+        rows = [
+            (c.ordinal_position, c.name, c.data_type, c.is_nullable, c.default_value, c.character_maximum_length, c.comment)
+            for c in found
+        ]
+        return spark.createDataFrame(
+            rows, "place int, name string, kind string, nullable boolean, fallback string, length int, said string"
+        )
+
+    return _scratch(spark, run)
+
+
+@query(
+    "SELECT 'names' AS view, count(*) AS n FROM nation WHERE n_name IS NOT NULL UNION ALL "
+    "SELECT 'regions', count(DISTINCT n_regionkey) FROM nation"
+)
+def views_built(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Views of another dialect, of which one needs another that comes later by name."""
+
+    def run(name: str) -> DataFrame:
+        load(spark, sf_dir, "nation").write.saveAsTable(f"{name}_tgt.nation")
+        given = {
+            "a_names": 'CREATE OR REPLACE SECURE VIEW "DB"."S"."A_NAMES" AS SELECT TRIM(n_name), v.r FROM z_regions v',
+            "z_regions": "CREATE VIEW db.s.z_regions (n_name, r) AS SELECT n_name, IFF(n_regionkey >= 0, n_regionkey, NULL) FROM nation",
+        }
+        found = [dialect.translate_view(k, v, f"{name}_tgt") for k, v in given.items()]
+        made, errors = dialect.build_views(spark, found, f"{name}_tgt")
+        assert not errors, errors
+        rows = spark.table(f"{name}_tgt.a_names")
+        counts = [("names", rows.where("n_name IS NOT NULL").count()), ("regions", rows.select("r").distinct().count())]
+        return spark.createDataFrame(counts, "view string, n long")
+
+    return _scratch(spark, run)
+
+
 @query("SELECT p_partkey, p_name FROM part WHERE p_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size < 10)")
 def transfer_remaining(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that an earlier run has not copied: an anti-join on the key."""
@@ -457,6 +660,41 @@ def type_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "id int, source string, target string")
 
 
+_FAMILIES = {
+    "NUMERIC": ["NUMBER", "NUMERIC"],
+    "DECIMAL": ["DECIMAL"],
+    "INTEGER": ["INT", "INTEGER"],
+    "BIGINT": ["BIGINT"],
+    "SMALLINT": ["BYTEINT", "SMALLINT", "TINYINT"],
+    "DOUBLE PRECISION": ["DOUBLE", "DOUBLE PRECISION", "FLOAT", "FLOAT8"],
+    "REAL": ["FLOAT4", "REAL"],
+    "VARCHAR": ["VARCHAR"],
+    "CHAR": ["CHAR", "CHARACTER"],
+    "TEXT": ["STRING", "TEXT", "GEOGRAPHY", "VECTOR"],
+    "BYTEA": ["BINARY", "VARBINARY"],
+    "DATE": ["DATE"],
+    "TIME": ["TIME"],
+    "TIMESTAMP": ["DATETIME", "TIMESTAMP", "TIMESTAMP_NTZ"],
+    "TIMESTAMP WITH TIME ZONE": ["TIMESTAMP_LTZ", "TIMESTAMP_TZ"],
+    "BOOLEAN": ["BOOLEAN"],
+    "JSONB": ["ARRAY", "OBJECT", "VARIANT"],
+}
+
+
+@query(
+    "SELECT * FROM (VALUES "
+    + ", ".join(f"('{t}', {len(x)}, '{','.join(sorted(x))}')" for t, x in _FAMILIES.items())
+    + ") AS v(target, n, sources)"
+)
+def type_map_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 33 source types, and two unknown ones, by the target type that they get."""
+    names = [*kinds.TYPE_MAP, "GEOGRAPHY", "VECTOR"]
+    rows = spark.createDataFrame([(kinds.map_type(Column("c", t)), t) for t in names], "target string, t string")
+    return rows.groupBy("target").agg(
+        F.count("*").cast("int").alias("n"), F.array_join(F.array_sort(F.collect_list("t")), ",").alias("sources")
+    )
+
+
 _EDGES = {
     "lineitem": ["orders", "part", "supplier"],
     "orders": ["customer"],
@@ -545,11 +783,27 @@ _view(
     "SELECT event_id, CAST(substr(CAST(ts AS VARCHAR), 1, 10) AS DATE) AS d FROM events",
     ("events",),
 )
-for _unit in ("year", "quarter", "month", "day", "hour", "minute"):
+_view(
+    "view_date_trunc_types",
+    "SELECT event_id, DATE_TRUNC(month, ts) AS m, TYPEOF(DATE_TRUNC(hour, ts)) AS a, "
+    "TYPEOF(DATE_TRUNC(year, CAST(ts AS TIMESTAMP))) AS b FROM {events}",
+    "SELECT event_id, CAST(date_trunc('month', ts) AS TIMESTAMP) AS m, 'timestamp_ntz' AS a, 'timestamp' AS b FROM events",
+    ("events",),
+)
+_view(
+    "view_to_timestamp",
+    "SELECT event_id, TO_TIMESTAMP(SUBSTR(ts::VARCHAR, 1, 19))::TIMESTAMP_NTZ AS t, "
+    "TRY_TO_TIMESTAMP(event_type)::TIMESTAMP_NTZ AS u FROM {events}",
+    "SELECT event_id, date_trunc('second', ts) AS t, CAST(NULL AS TIMESTAMP) AS u FROM events",
+    ("events",),
+)
+for _unit in ("year", "quarter", "month", "week", "day", "hour", "minute", "second"):
     _view(
         f"view_datediff_{_unit}",
         f"SELECT event_id, DATEDIFF({_unit}, ts, '2024-03-15 10:20:30'::TIMESTAMP_NTZ) AS n FROM {{events}}",
-        f"SELECT event_id, datediff('{_unit}', ts, TIMESTAMP '2024-03-15 10:20:30') AS n FROM events",
+        "SELECT event_id, CAST(datediff('day', date_trunc('week', ts), TIMESTAMP '2024-03-11') / 7 AS BIGINT) AS n FROM events"
+        if _unit == "week"
+        else f"SELECT event_id, datediff('{_unit}', ts, TIMESTAMP '2024-03-15 10:20:30') AS n FROM events",
         ("events",),
     )
 _view(

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.dialect import Translation
-from .plans.model import Schema, TableValidation
+from .plans.model import Schema, TableReport
 
 SHOWN_COLUMNS, SHOWN_DETAILS = 10, 10
 
@@ -39,16 +39,9 @@ def schema_text(schema: Schema) -> str:
     return "\n".join(lines)
 
 
-def checks_frame(spark: SparkSession, validations: Iterable[TableValidation]) -> DataFrame:
-    rows = [
-        (v.table_name, c.name, c.passed, c.source_value, c.target_value, c.message, list(c.details))
-        for v in validations
-        for c in v.checks
-    ]
-    schema = (
-        "table_name string, name string, passed boolean, source_value string, target_value string, message string, "
-        "details array<string>"
-    )
+def checks_frame(spark: SparkSession, validations: Iterable[TableReport]) -> DataFrame:
+    rows = [(v.table, c.name, c.passed, c.message, list(c.details)) for v in validations for c in v.checks]
+    schema = "table_name string, name string, passed boolean, message string, details array<string>"
     return spark.createDataFrame(rows, schema)
 
 
@@ -70,10 +63,10 @@ def summary(checks: DataFrame) -> DataFrame:
     )
 
 
-def validation_text(validations: Iterable[TableValidation]) -> str:
+def validation_text(validations: Iterable[TableReport]) -> str:
     lines, run, failed = [], 0, 0
     for v in validations:
-        lines.append(f"{'ok' if v.passed else 'FAILED'}  {v.table_name}  {v.duration:.1f} s")
+        lines.append(f"{'ok' if v.ok else 'FAILED'}  {v.table}  {v.seconds:.1f} s")
         for c in v.checks:
             run += 1
             failed += c.passed is False

@@ -43,12 +43,24 @@ class Checkpoint:
     def is_completed(self, table: str) -> bool:
         return table.lower() in self.state["completed"]
 
-    def offset(self, table: str) -> int:
-        return self.state["in_progress"].get(table.lower(), 0)
+    def begin(self, table: str, there: int, batches: int) -> tuple[int, int]:
+        """(batches done, rows written) by earlier runs.  there: rows that the target has now."""
+        with self.lock:
+            found = self.state["in_progress"].get(table.lower())
+            if not found:
+                found = {"base": there, "batches": batches, "done": 0, "rows": 0}
+            if found["batches"] != batches:
+                raise ValueError(f"{table} was begun in {found['batches']} batches, not {batches}")
+            if there > found["base"] + found["rows"]:
+                # one more batch was committed, but not noted
+                found |= {"done": found["done"] + 1, "rows": there - found["base"]}
+            self.state["in_progress"][table.lower()] = found
+            self._save()
+            return found["done"], found["rows"]
 
-    def update(self, table: str, rows: int) -> None:
+    def update(self, table: str, done: int, rows: int) -> None:
         with self.lock:
-            self.state["in_progress"][table.lower()] = rows
+            self.state["in_progress"][table.lower()] |= {"done": done, "rows": rows}
             self._save()
 
     def complete(self, table: str) -> None:
