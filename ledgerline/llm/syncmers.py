@@ -139,7 +139,8 @@ def with_next(rows: DataFrame, part: Column) -> DataFrame:
 
     Rows are dealt by ranges of the key; the last row of a range meets the first one of the next range that has rows.
     """
-    dealt = rows.withColumn("part", part).repartition("part")
+    # never null, so that both readers of the exchange below are alike and it is made once
+    dealt = rows.withColumn("part", F.coalesce(part, F.lit(0))).repartition("part")
     order = Window.partitionBy("part").orderBy("doc_id", "content")
     # the range before each one that has rows; at most QUANTILES * MAX_PARTS ranges
     parts = dealt.select("part").distinct()
