@@ -44,3 +44,23 @@ def test_stages_in_order(spark, docs, sf_dir):
 def test_run(spark, sf_dir):
     assert corpus_pipeline.ORACLE_SQL is None
     assert corpus_pipeline.run(spark, sf_dir).columns == ["doc_id", "n_tokens", "ids"]
+
+
+def test_stages_on_odd_rows_and_empty_tables(spark, odd, empty, sf_dir):
+    """Nulls, ties, repeats and clashing names pass through every stage; an empty table stays empty."""
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, odd, sf_dir)
+        assert out.columns == odd.columns
+        kept[name] = out.collect()
+        nothing = stage(spark, empty, sf_dir)
+        assert nothing.columns == odd.columns
+        assert nothing.count() == 0
+    assert {r["doc_id"] for r in kept["toxicity"]} == {r["doc_id"] for r in odd.collect()}
+    texts = collections.Counter(r["text"] or "" for r in kept["exact_dedup"])
+    assert max(texts.values()) == 1
+    assert {r["doc_id"] for r in kept["source_mixing"]} == {r["doc_id"] for r in odd.collect()}
+    encoded = corpus_pipeline.encode(spark, odd, sf_dir).collect()
+    assert len(encoded) == odd.count()
+    assert all(r["n_tokens"] * 4 == len(r["ids"]) for r in encoded)
+    assert corpus_pipeline.encode(spark, empty, sf_dir).count() == 0
