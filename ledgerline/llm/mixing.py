@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 
 from .common import staged, text_or_empty
 
-#: Documents in a block, and blocks of a source at most (blocks of very large sources grow instead).
+#: Documents in a block, and blocks of a source until blocks grow too: beyond, n documents make sqrt(n) blocks of
+#: sqrt(n), so that neither the order of the blocks nor the block that is cut is large for one task.
 BLOCK_DOCS, MAX_BLOCKS = 256, 4096
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -117,7 +118,9 @@ def mix(
             "weight",
             F.floor("drawn").cast("int").alias("epochs"),
             F.floor((F.col("drawn") - F.floor("drawn")) * F.col("tokens")).cast("long").alias("rest"),
-            F.least(F.lit(MAX_BLOCKS), F.ceil(F.col("n_docs") / BLOCK_DOCS)).cast("int").alias("blocks"),
+            F.least(F.greatest(F.lit(MAX_BLOCKS), F.ceil(F.sqrt("n_docs"))), F.ceil(F.col("n_docs") / BLOCK_DOCS))
+            .cast("int")
+            .alias("blocks"),
         )
     )
     plan = staged(plan, "mix-plan")
