@@ -1,6 +1,11 @@
 """The corpus pipeline: documents in, token ids out, in five stages that each work on all that the one before kept.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents.
+
+Nulls in any column pass through every stage: a null text counts as an empty one; a null key is the least where equal
+texts compete, and its row stays where near copies go.  Of repeated rows and of ties one row stays in the stages that drop copies, and each is a row like any other
+in the rest.  An empty table gives an empty one.  Further columns are carried, whatever their names, but for the last
+stage, which returns its own.
 """
 
 from __future__ import annotations
