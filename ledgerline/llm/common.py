@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 SLAB_BYTES = 2_000_000
 #: Spark's setting by which an execution drops its shuffle files at its end.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Spark's setting for the bytes of an Arrow batch, and what a staged write takes: a batch is held on both sides at once.
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "8m"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,12 +46,14 @@ def staged(df: DataFrame, tag: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    before = spark.conf.get(CLEANUP, "false")
+    before = {x: spark.conf.get(x) for x in (CLEANUP, BATCH)}
     spark.conf.set(CLEANUP, "true")
+    spark.conf.set(BATCH, BATCH_BYTES)
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.set(CLEANUP, before)
+        for setting, value in before.items():
+            spark.conf.set(setting, value)
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_path = path
     return out

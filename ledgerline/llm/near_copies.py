@@ -40,6 +40,8 @@ SHINGLE = 5
 RADIUS, BITS = 4, 256
 #: One of so many documents is sampled for frequent shingles; found so often there, a shingle is frequent; at most.
 SAMPLE, FREQUENT, MOST = 8, 3, 50_000
+#: Bytes of text made into shingles at once: words, hashes and sets together take about a hundred times that.
+SLAB_BYTES = 500_000
 _U = np.uint64
 _ODD = [_U(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63)]
 _MIX = _U(0xFF51AFD7ED558CCD)
@@ -128,7 +130,7 @@ def _confirmed(pairs: DataFrame, source: DataFrame, nodes: DataFrame) -> DataFra
     """Those of the pairs (a, b) of nodes whose texts have a similarity of 4/5 or more."""
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slabs(batches, "text_a"):
+        for batch in slabs(batches, "text_a", SLAB_BYTES):
             known: dict[int, np.ndarray] = {}
             for key, text in (("a", "text_a"), ("b", "text_b")):
                 fresh = dict(zip(batch.column(key).to_pylist(), _texts(batch, text), strict=True))
@@ -174,7 +176,7 @@ def _frequent(source: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Shingles found often in a sample, ascending, and their ranks from the least frequent on; at most MOST."""
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slabs(batches, "text"):
+        for batch in slabs(batches, "text", SLAB_BYTES):
             for found in sets(_texts(batch)):
                 yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], ["h"])
 
@@ -191,7 +193,7 @@ def _candidates(source: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFr
     frequent, rank = _frequent(source)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slabs(batches, "text"):
+        for batch in slabs(batches, "text", SLAB_BYTES):
             data = _texts(batch)
             heads = [prefix(x, frequent, rank) for x in sets(data)]
             node = np.array([node_of(x.lower().split()) for x in data], dtype=np.uint64).view(np.int64)
@@ -217,7 +219,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     """doc_id, tag (checksum of the text), component_id (least key reachable) of each row with a key."""
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slabs(batches, "text"):
+        for batch in slabs(batches, "text", SLAB_BYTES):
             words = [x.lower().split() for x in _texts(batch)]
             hashes, sizes = shingles(words)
             found = [np.unique(x) for x in np.split(hashes, np.cumsum(sizes)[:-1])]

@@ -121,11 +121,11 @@ def fingerprints(data: list[bytes], shingle: int = 3, seed: int = 42) -> np.ndar
     last = heads + np.minimum(shingle, n_words[doc[heads]]) - 1
     hashes = xxh64(buffer, starts[heads], word_end[last], seed)
     n_heads = np.bincount(doc[heads], minlength=len(full))
-    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
     edges = np.cumsum(n_heads) - n_heads
-    counts = np.add.reduceat(bits, edges, axis=0, dtype=np.int64)
-    over = (2 * counts > n_heads[:, None]).astype(np.uint8)
-    out[full] = np.packbits(over, axis=1, bitorder="little").view("<u8")[:, 0]
+    # bit by bit: all bits of all shingles at once would take 64 times the memory of the hashes
+    for j in range(64):
+        counts = np.add.reduceat((hashes >> _U(j)) & _U(1), edges).astype(np.int64)
+        out[full] |= (2 * counts > n_heads).astype(np.uint64) << _U(j)
     return out
 
 
