@@ -27,6 +27,8 @@ from .common import slabs, staged, texts
 
 #: Hashed features; the weights (4 bytes each) are the whole model that goes to the workers.
 FEATURES = 1 << 18
+#: Bytes of text whose words are hashed at once.
+SLAB_BYTES = 500_000
 #: Labelled rows of each class that the model is fitted on at most, those with the least hash of their key.
 SAMPLE = 3000
 PREFIXES = (4, 5, 6)
@@ -170,7 +172,7 @@ def _packed(at: np.ndarray) -> bytes:
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slabs(batches, "text"):
+    for batch in slabs(batches, "text", SLAB_BYTES):
         data = texts(batch)
         owner, at = features(data)
         cuts = np.searchsorted(owner, np.arange(len(data) + 1))
@@ -278,7 +280,7 @@ def score(
     weights, bias = learn(docs, labels, label, sample, key, text)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slabs(batches, "text"):
+        for batch in slabs(batches, "text", SLAB_BYTES):
             owner, at = features(texts(batch))
             z = np.bincount(owner, weights[at], batch.num_rows)[: batch.num_rows] + bias
             found = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
@@ -300,7 +302,7 @@ def clean(
     weights, bias = learn(docs, labels, label, sample, key, text)
 
     def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slabs(batches, text):
+        for batch in slabs(batches, text, SLAB_BYTES):
             owner, at = features(texts(batch, text))
             z = np.bincount(owner, weights[at], batch.num_rows)[: batch.num_rows] + bias
             yield batch.filter(pa.array(z < 0))
