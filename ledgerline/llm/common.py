@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 SLAB_BYTES = 2_000_000
 #: Spark's setting by which an execution drops its shuffle files at its end.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-#: Spark's setting for the bytes of an Arrow batch, and what a staged write takes: a batch is held on both sides at once.
-BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "8m"
+#: Spark's setting for the bytes of an Arrow batch.
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,16 +39,18 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
-def staged(df: DataFrame, tag: str) -> DataFrame:
+def staged(df: DataFrame, tag: str, batch: str | None = None) -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it back; cuts lineage and survives lost executors.
 
     The shuffle files of the write, which nothing reads once the table stands, are dropped at its end.
+    batch: bytes of an Arrow batch in the write, where they shall be fewer than the session's.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     before = {x: spark.conf.get(x) for x in (CLEANUP, BATCH)}
     spark.conf.set(CLEANUP, "true")
-    spark.conf.set(BATCH, BATCH_BYTES)
+    if batch:
+        spark.conf.set(BATCH, batch)
     try:
         df.write.parquet(path)
     finally:

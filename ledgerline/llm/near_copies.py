@@ -31,7 +31,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_broadcast, slabs, staged
+from . import common
+from .common import bounded_broadcast, slabs
 from .components import components
 from .simhash import covering_masks, fingerprints, xxh64
 
@@ -42,11 +43,17 @@ RADIUS, BITS = 4, 256
 SAMPLE, FREQUENT, MOST = 8, 3, 50_000
 #: Bytes of text made into shingles at once: words, hashes and sets together take about a hundred times that.
 SLAB_BYTES = 500_000
+#: Bytes of an Arrow batch of a staged write: a batch is held on both sides at once.
+BATCH_BYTES = "8m"
 _U = np.uint64
 _ODD = [_U(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63)]
 _MIX = _U(0xFF51AFD7ED558CCD)
 
 
+def staged(df: DataFrame, tag: str) -> DataFrame:
+    return common.staged(df, tag, BATCH_BYTES)
+
+
 def _mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> _U(33))) * _MIX
     return h ^ (h >> _U(29))
