@@ -12,8 +12,12 @@ A text is its set of shingles of SHINGLE words (lower-cased, split at white spac
    any order gives the same result.
 
 A pair is compared only if its sizes and bitmaps allow the similarity: a bitmap has the parity of the shingles in each
-of BITS parts, and two bitmaps differ in no more bits than the sets do in shingles, so that nothing is lost.  Each link
-is confirmed on both sets.  Components come from alternating stars.
+of BITS parts, and two bitmaps differ in no more bits than the sets do in shingles, so that nothing is lost.  Pairs are
+listed by bitmaps of BITS parts, which say little about sets of over 1,000 shingles, and then sifted by those of WIDE
+parts.  Each link is confirmed on both sets.  Components come from alternating stars.
+
+Disk: a pair is sent with both bitmaps, or both texts, so pairs go in slices that are staged one after the other, and
+staged tables go as soon as nothing reads them.
 
 Edge cases: a text of fewer words than a shingle, or none, has one shingle of its whole sequence; rows without a key
 stay; repeated rows are copies; rows with one key and different texts are told apart by a checksum; an empty table gives
@@ -22,8 +26,9 @@ an empty result; other columns are kept by `one_of_each`, whatever their names.
 
 from __future__ import annotations
 
+import functools
 import itertools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,13 +37,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
-from .common import bounded_broadcast, slabs
+from .common import bounded_broadcast, discard, slabs
 from .components import components
 from .simhash import covering_masks, fingerprints, xxh64
 
 SHINGLE = 5
 #: Radius of the covering tables (2**(RADIUS + 1) - 1 of them), and bits of a bitmap.
 RADIUS, BITS = 4, 256
+#: Bits of the bitmaps by which listed pairs are sifted before their texts are fetched.
+WIDE = 2048
+#: Pairs sifted at once; and shingles of texts compared at once (about six bytes of text each), or twice what the texts
+#: have where that is more: a slice then sends no more than a few times what it reads.
+PAIRS, WORDS = 2_000_000, 100_000_000
+#: Sets whose bitmaps are counted at once.
+SETS = 256
 #: One of so many documents is sampled for frequent shingles; found so often there, a shingle is frequent; at most.
 SAMPLE, FREQUENT, MOST = 8, 3, 50_000
 #: Bytes of text made into shingles at once: words, hashes and sets together take about a hundred times that.
@@ -95,12 +107,16 @@ def node_of(words: list[str]) -> int:
     return xxhash.xxh3_64_intdigest(" ".join(words))
 
 
-def bitmaps(found: list[np.ndarray]) -> np.ndarray:
-    """Parity of the shingles in each of BITS parts, as BITS / 64 signed integers of each set."""
-    sizes = np.array([len(x) for x in found])
-    place = (np.concatenate(found) >> _U(64 - BITS.bit_length() + 1)).astype(np.int64)
-    bits = np.bincount(np.repeat(np.arange(len(found)), sizes) * BITS + place, minlength=len(found) * BITS) & 1
-    return np.packbits(bits.astype(np.uint8).reshape(-1, BITS), axis=1, bitorder="little").view("<i8")
+def bitmaps(found: list[np.ndarray], bits: int = BITS) -> np.ndarray:
+    """Parity of the shingles in each of `bits` parts, as bits / 64 signed integers of each set."""
+    out = [np.zeros((0, bits // 64), dtype="<i8")]
+    for at in range(0, len(found), SETS):
+        some = found[at : at + SETS]
+        place = (np.concatenate(some) >> _U(64 - bits.bit_length() + 1)).astype(np.int64)
+        place += np.repeat(np.arange(len(some)) * bits, [len(x) for x in some])
+        odd = (np.bincount(place, minlength=len(some) * bits) & 1).astype(np.uint8)
+        out.append(np.packbits(odd.reshape(-1, bits), axis=1, bitorder="little").view("<i8"))
+    return np.concatenate(out)
 
 
 def prefix(found: np.ndarray, frequent: np.ndarray, rank: np.ndarray) -> np.ndarray:
@@ -133,7 +149,47 @@ def allowed(a: str, b: str) -> Column:
     return 9 * most >= 4 * both
 
 
-def _confirmed(pairs: DataFrame, source: DataFrame, nodes: DataFrame) -> DataFrame:
+def _slices(pairs: DataFrame, n: int, tag: str, step: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """step(pairs), with n parts of the pairs staged one after the other."""
+    part = F.pmod(F.xxhash64("a", "b"), F.lit(n))
+    found = [staged(step(pairs.where(part == i) if n > 1 else pairs), tag) for i in range(n)]
+    return functools.reduce(DataFrame.union, found)
+
+
+def _asked(pairs: DataFrame) -> DataFrame:
+    return pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "node")
+
+
+def _sifted(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """(a, b, n) of the pairs whose sizes and wide bitmaps allow a similarity of 4/5; n: shingles of both sets."""
+
+    def words(column: pa.Array) -> np.ndarray:
+        return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint64).reshape(-1, WIDE // 64)
+
+    def sifted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            na, nb = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("n_a", "n_b"))
+            apart = np.bitwise_count(words(batch.column("wide_a")) ^ words(batch.column("wide_b"))).sum(axis=1, dtype=np.int64)
+            most = np.minimum((na + nb - apart) // 2, np.minimum(na, nb))
+            kept = batch.filter(pa.array(9 * most >= 4 * (na + nb)))
+            n = kept.column("n_a").to_numpy(zero_copy_only=False) + kept.column("n_b").to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([kept.column("a"), kept.column("b"), pa.array(n)], ["a", "b", "n"])
+
+    asked = staged(_asked(pairs), "near-met-nodes")
+    # what a node has is the same in all of its rows
+    wide = rows.select("node", "n", "wide").join(bounded_broadcast(asked), "node", "left_semi")
+    wide = staged(wide.groupBy("node").agg(F.first("n").alias("n"), F.first("wide").alias("wide")), "near-wide")
+    a, b = (wide.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("wide").alias(f"wide_{x}")) for x in "ab")
+
+    def step(some: DataFrame) -> DataFrame:
+        return some.join(a, "a").join(b, "b").mapInArrow(sifted, "a long, b long, n long")
+
+    out = _slices(pairs, max(1, -(-pairs.count() // PAIRS)), "near-sifted", step)
+    discard(asked, wide)
+    return out
+
+
+def _confirmed(pairs: DataFrame, source: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFrame:
     """Those of the pairs (a, b) of nodes whose texts have a similarity of 4/5 or more."""
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,12 +205,20 @@ def _confirmed(pairs: DataFrame, source: DataFrame, nodes: DataFrame) -> DataFra
                 kept.append(enough(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)))
             yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
-    asked = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "node")
-    asked = staged(nodes.select("node", "doc_id", "tag").join(asked, "node"), "near-asked")
+    pairs = _sifted(pairs, rows)
+    asked = staged(nodes.select("node", "doc_id", "tag", "n").join(_asked(pairs), "node"), "near-asked")
     named = staged(source.join(bounded_broadcast(asked), ["doc_id", "tag"]).select("node", "text"), "near-texts")
     a = named.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     b = named.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b").mapInArrow(compared, "a long, b long")
+
+    def step(some: DataFrame) -> DataFrame:
+        both = some.select("a", "b").join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b")
+        return both.mapInArrow(compared, "a long, b long")
+
+    sent, held = (x.agg(F.coalesce(F.sum("n"), F.lit(0))).head()[0] for x in (pairs, asked))
+    out = _slices(pairs, max(1, -(-sent // max(WORDS, 2 * held))), "near-confirmed", step)
+    discard(asked, named)
+    return out
 
 
 def _stars(nodes: DataFrame) -> DataFrame:
@@ -189,7 +253,9 @@ def _frequent(source: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     sample = source.where(F.pmod(F.xxhash64("doc_id", "tag"), F.lit(SAMPLE)) == 0).select("text")
     counts = sample.mapInArrow(sampled, "h long").groupBy("h").agg(F.count("*").alias("n"))
-    top = counts.where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "h").limit(MOST).select("h")
+    # staged, so that the shuffle of all sampled shingles goes at once
+    top = staged(counts.where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "h").limit(MOST), "near-frequent")
+    top = top.orderBy(F.desc("n"), "h").select("h")
     hashes = top.toArrow().column("h").to_numpy().astype(np.int64).view(np.uint64)[::-1]
     order = np.argsort(hashes)
     return hashes[order], order
@@ -212,14 +278,18 @@ def _candidates(source: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFr
     heads = staged(source.select("text").mapInArrow(cut, "h long, node long"), "near-heads")
     # most of the rarest shingles of a text are its own: only those of two nodes go on
     shared = heads.groupBy("h").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
-    met = heads.join(staged(shared.select("h"), "near-shared"), "h").distinct()
+    shared = staged(shared.select("h"), "near-shared")
+    met = heads.join(shared, "h").distinct()
     about = nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "n", "bits")
     met = staged(met.join(about, "node"), "near-met")
+    discard(heads, shared)
     a, b = met.alias("a"), met.alias("b")
     sizes = (4 * F.col("a.n") <= 5 * F.col("b.n")) & (4 * F.col("b.n") <= 5 * F.col("a.n"))
     apart = (F.col("a.node") < F.col("b.node")) & (F.col("a.root") != F.col("b.root"))
     pairs = a.join(b, (F.col("a.h") == F.col("b.h")) & apart & sizes & allowed("a", "b"))
-    return pairs.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
+    pairs = staged(pairs.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct(), "near-pairs")
+    discard(met)
+    return pairs
 
 
 def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -233,11 +303,13 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
             bits = bitmaps(found)
             width = bits.shape[1]
             lists = pa.ListArray.from_arrays(np.arange(0, bits.size + 1, width, dtype=np.int32), bits.ravel())
+            wide = [x.tobytes() for x in bitmaps(found, WIDE)]
             columns = {
                 "node": pa.array(np.array([node_of(x) for x in words], dtype=np.uint64).view(np.int64)),
                 "fp": pa.array(fingerprints([" ".join(x).encode() for x in words], SHINGLE).view(np.int64)),
                 "n": pa.array([len(x) for x in found], pa.int64()),
                 "bits": lists,
+                "wide": pa.array(wide, pa.binary()),
             }
             own = [batch.column("doc_id"), batch.column("tag")]
             yield pa.RecordBatch.from_arrays([*own, *columns.values()], ["doc_id", "tag", *columns])
@@ -245,7 +317,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     checksum = F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8"))
     source = source.where("doc_id is not null").withColumn("tag", checksum)
-    schema = "doc_id long, tag long, node long, fp long, n long, bits array<bigint>"
+    schema = "doc_id long, tag long, node long, fp long, n long, bits array<bigint>, wide binary"
     rows = staged(source.select("doc_id", "tag", "text").mapInArrow(named, schema), "near-rows")
     # one document stands for each node; what else a node has is the same in all of them
     nodes = rows.groupBy("node").agg(
@@ -255,10 +327,9 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     stars = staged(_stars(nodes), "near-stars")
     met = stars.alias("p").join(nodes.alias("a"), F.col("p.a") == F.col("a.node"))
     met = met.join(nodes.alias("b"), F.col("p.b") == F.col("b.node")).where(allowed("a", "b")).select("p.a", "p.b")
-    first = staged(_confirmed(staged(met, "near-likely"), source, nodes), "near-first")
+    first = _confirmed(staged(met, "near-likely"), source, nodes, rows)
     roots = staged(components(first), "near-roots")
-    pairs = staged(_candidates(source, nodes, roots), "near-pairs")
-    second = staged(_confirmed(pairs, source, nodes), "near-second")
+    second = _confirmed(_candidates(source, nodes, roots), source, nodes, rows)
     roots = components(first.union(second))
     placed = nodes.join(staged(roots, "near-joined"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     placed = staged(placed.select("node", "root", "doc_id"), "near-placed")
@@ -270,7 +341,8 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The document with the least key of each group, with all columns; rows without a key stay."""
     gone = near_groups(docs, key, text).where("doc_id <> component_id").select("doc_id", "tag")
-    gone = staged(gone.distinct(), "near-gone").select(F.col("doc_id").alias("own"), "tag")
+    # without a broadcast every row with all its columns would be shuffled to drop a few
+    gone = bounded_broadcast(staged(gone.distinct(), "near-gone").select(F.col("doc_id").alias("own"), "tag"))
     checksum = F.crc32(F.encode(F.coalesce(F.col(text).cast("string"), F.lit("")), "UTF-8"))
     rows = docs.select(F.struct("*").alias("d"), F.col(key).cast("long").alias("own"), checksum.alias("tag"))
     return rows.join(gone, ["own", "tag"], "left_anti").select([F.col(f"d.`{c}`") for c in docs.columns])
