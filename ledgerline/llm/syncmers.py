@@ -20,6 +20,8 @@ their texts' hashes; null keys come first; an empty table gives an empty result;
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,60 +30,70 @@ from .common import int_array, text_or_empty
 K, S = 6, 2
 #: Hashes in a fingerprint.
 SKETCH = 48
+#: The ranges in front are letters and digits too: nearly all characters are found there, without a look at properties.
 TOKEN = (
-    r"[\p{L}\p{M}\p{N}&&[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]]{1,32}"
+    r"[a-zA-Z0-9\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F[\p{L}\p{M}\p{N}"
+    r"&&[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]]]{1,32}+"
     r"|[^\s\p{Z}\p{C}]"
 )
+#: Stands for k-mers that are not selected; above all hashes of a fingerprint.
+NONE = 1 << 32
 #: Documents in a range of keys, ranges between quantiles of the keys, and equal parts of such a range at most.
 RANGE_DOCS, QUANTILES, MAX_PARTS = 500, 4096, 256
 
 
-def _pairs(a: Column, b: Column, shift: int, f) -> Column:  # noqa: ANN001
-    """f(a[i], b[i + shift]) for every i where both exist."""
-    n = F.greatest(F.size(b) - shift, F.lit(0))
-    return F.zip_with(F.slice(a, F.lit(1), n), F.slice(b, F.lit(shift + 1), n), f)
-
+def _selected(text: Column, named: Callable[[Column], Column], none: Column) -> Column:
+    """For each k-mer of the text named(its hash), or none where it is not selected.  The index is the k-mer's place.
 
-def selected(text: Column) -> Column:
-    """For each k-mer of the text its hash, or null where it is not selected.  The index is the k-mer's place."""
+    Functions of array elements are interpreted, and take nearly all of the time: there are three for each token.
+    """
     tokens = F.transform(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)), lambda t: F.xxhash64(t))
 
     def of_tokens(h: Column) -> Column:
-        return F.transform(F.array(_pairs(h, h, S - 1, lambda a, b: F.xxhash64(a, b))), of_smers)[0]
+        # the last one lacks a token, and no k-mer looks at it
+        smers = F.transform(h, lambda x, i: F.xxhash64(x, F.get(h, i + (S - 1))))
+        return F.transform(F.array(smers), of_smers)[0]
 
     def of_smers(s: Column) -> Column:
-        # least of five neighbouring s-mers: of two, of four, and with the fifth
-        return F.transform(F.array(_pairs(s, s, 1, lambda a, b: F.least(a, b))), lambda two: of_pairs(s, two))[0]
-
-    def of_pairs(s: Column, two: Column) -> Column:
-        four = _pairs(two, two, 2, lambda a, b: F.least(a, b))
-        # the s-mers at 0, 2 and 4 hold all tokens of a k-mer
-        head = _pairs(s, s, S, lambda a, b: F.struct(a.alias("first"), F.xxhash64(a, b).alias("name")))
-        edge = _pairs(
-            head,
-            s,
-            K - S,
-            lambda h, b: F.struct(F.least(h["first"], b).alias("edge"), F.xxhash64(h["name"], b).alias("name")),
-        )
-        closed = F.zip_with(four, edge, lambda m, e: F.when(e["edge"] <= m, e["name"]))
-        names = F.transform(edge, lambda e: e["name"])
-        least = F.transform(names, lambda x: F.when(x == F.array_min(names), x))
-        return F.transform(F.array(closed), lambda c: F.when(F.exists(c, lambda x: x.isNotNull()), c).otherwise(least))[0]
+        def name(x: Column, i: Column) -> Column:
+            # the s-mers at 0, 2 and 4 hold all tokens of a k-mer
+            return F.xxhash64(F.xxhash64(x, F.get(s, i + S)), F.get(s, i + (K - S)))
+
+        def closed(x: Column, i: Column) -> Column:
+            inner = F.least(*(F.get(s, i + j) for j in range(1, K - S)))
+            return F.when(F.least(x, F.get(s, i + (K - S))) <= inner, named(name(x, i))).otherwise(none)
+
+        heads = F.slice(s, F.lit(1), F.size(s) - (K - 1))
+        def least(names: Column) -> Column:
+            return F.transform(names, lambda x: F.when(x == F.array_min(names), named(x)).otherwise(none))
+
+        def some(c: Column) -> Column:
+            found = F.exists(c, lambda x: ~x.eqNullSafe(none))
+            return F.when(found, c).otherwise(F.transform(F.array(F.transform(heads, name)), least)[0])
+
+        # a last place, of the last s-mers, without a k-mer of its own
+        return F.transform(F.array(F.concat(F.transform(heads, closed), F.array(none))), some)[0]
 
     # arrays of one element bind an intermediate array to a name, so that it is computed once
     whole = F.transform(
         F.array(tokens),
-        lambda h: F.when(F.size(h) >= K, of_tokens(h)).when(F.size(h) > 0, F.array(F.xxhash64(h))).otherwise(
+        lambda h: F.when(F.size(h) >= K, of_tokens(h)).when(F.size(h) > 0, F.array(named(F.xxhash64(h)))).otherwise(
             F.array().cast("array<bigint>")
         ),
     )
     return whole[0]
 
 
+def selected(text: Column) -> Column:
+    """For each k-mer of the text its hash, or null where it is not selected.  The index is the k-mer's place."""
+    return _selected(text, lambda x: x, F.lit(None).cast("long"))
+
+
 def sketch(text: Column) -> Column:
     """The least hashes (32 bits) of the selected k-mers, ascending."""
-    names = F.transform(F.filter(selected(text), lambda x: x.isNotNull()), lambda x: F.shiftrightunsigned(x, 32))
-    return F.slice(F.array_sort(F.array_distinct(names)), 1, SKETCH)
+    # no nulls, so that numbers are sorted as such
+    names = _selected(text, lambda x: F.shiftrightunsigned(x, 32), F.lit(NONE).cast("long"))
+    return F.array_remove(F.slice(F.sort_array(F.array_distinct(names)), 1, SKETCH), F.lit(NONE).cast("long"))
 
 
 def as_string(prints: Column) -> Column:
@@ -89,7 +101,7 @@ def as_string(prints: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    union = F.slice(F.array_sort(F.array_union(a, b)), 1, SKETCH)
+    union = F.slice(F.sort_array(F.array_union(a, b)), 1, SKETCH)
     both = F.size(F.array_intersect(union, F.array_intersect(a, b)))
     return F.when(F.size(union) == 0, 1.0).otherwise(both / F.size(union)).cast("double")
 
